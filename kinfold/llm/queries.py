@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,20 @@ def op3_bpe_transducer(spark: SparkSession, d: str) -> DataFrame:
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def held_out(doc_id) -> Column:
+    """Rows that no label may be learnt from: crc32 of the id's decimal text, mod 3, is 1."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+
+
+def op5_crf_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    from kinfold.llm.toxicity import score_documents, train, training_rows
+
+    docs = _docs(spark, d)
+    net = train(*training_rows(docs, spark.read.parquet(f"{d}/labels.parquet"), usable=~held_out(F.col("id"))))
+    got = score_documents(docs, net)
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
+
+
 def op6_cost_packing(spark: SparkSession, d: str) -> DataFrame:
     from kinfold.llm.packing import pack_documents
 
@@ -37,6 +51,34 @@ def op6_cost_packing(spark: SparkSession, d: str) -> DataFrame:
     return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_projection_passes(spark: SparkSession, d: str) -> DataFrame:
+    from kinfold.llm.vectors import near_vectors
+
+    return near_vectors(spark.read.parquet(f"{d}/embeddings.parquet"), least=0.95)
+
+
+def op8_page_differencing(spark: SparkSession, d: str) -> DataFrame:
+    from kinfold.llm.html import extract
+
+    got = extract(spark.read.parquet(f"{d}/pages.parquet"))
+    return got.withColumn("n_chars", F.length("text").cast("long"))
+
+
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    from kinfold.llm.urls import filter_urls
+
+    return filter_urls(spark.read.parquet(f"{d}/pages.parquet"), RULES)
+
+
 def queries() -> dict:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
