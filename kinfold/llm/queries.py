@@ -16,6 +16,12 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+def op1_superminhash(spark: SparkSession, d: str) -> DataFrame:
+    from kinfold.llm.minhash import near_duplicates
+
+    return near_duplicates(_docs(spark, d), k=2, percent=80)
+
+
 def op2_wavelet_shards(spark: SparkSession, d: str) -> DataFrame:
     from kinfold.llm.wavelet import encode_to_shards
 
