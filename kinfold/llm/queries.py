@@ -70,6 +70,13 @@ def op8_page_differencing(spark: SparkSession, d: str) -> DataFrame:
     return got.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op9_bucket_refinement(spark: SparkSession, d: str) -> DataFrame:
+    from kinfold.llm.suffix import remove_repeats
+
+    got = remove_repeats(_docs(spark, d), length=200)
+    return got.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
