@@ -252,8 +252,8 @@ def _start_rows(length: int, q: int, known: Levels, wanted: Bits):
 
 
 START_ROWS = "key long, n long, id long, print long, at long"
-RESULT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
-RESULT_SCHEMA = "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+EMIT = 8 << 20
 
 
 def cut(text: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple[list[tuple[int, int]], bytes]:
@@ -272,8 +272,9 @@ def cut(text: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> t
     return spans, b"".join(keep)
 
 
-def _results(buf, off, ids, extra, length, q, known):
-    """Rows (id, n_bytes, n_removed, spans, kept) of the documents of one batch; extra: further starts of each."""
+def _results(batch, more, length, q, known, as_text):
+    """The rows of a batch (.., text) with n_bytes, n_removed, spans, kept for the text; more: further starts of each."""
+    buf, off = text_column(batch.column(batch.num_columns - 1))
     n = len(off) - 1
     found: list[list] = [[] for _ in range(n)]
     for doc, at, o in segments(off, length):
@@ -283,64 +284,60 @@ def _results(buf, off, ids, extra, length, q, known):
         shift = at - off[place]
         for d, a, b in zip(place.tolist(), (first + shift).tolist(), (last + shift).tolist()):
             found[d].append((a, b))
-    for i in range(n):
-        runs = np.array(found[i], dtype=np.int64).reshape(-1, 2)
-        more = np.array(extra[i] or (), dtype=np.int64)
-        spans, kept = cut(buf[off[i] : off[i + 1]], np.concatenate([runs[:, 0], more]), np.concatenate([runs[:, 1], more]), length)
-        yield ids[i], int(off[i + 1] - off[i]), sum(b - a for a, b in spans), [{"start": a, "end": b} for a, b in spans], kept
-
-
-def _emit(rows, limit=8 << 20):
-    held, size = [], 0
-    for r in rows:
-        held.append(r)
-        size += len(r[4])
-        if size > limit:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), RESULT.types)], schema=RESULT)
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), RESULT.types)], schema=RESULT)
-
-
-def _finish_sure(length, q, known, touched):
-    """Documents without starts from level 2."""
+    for lo, hi in blocks(off, EMIT):
+        removed, all_spans, all_kept = [], [], []
+        for i in range(lo, hi):
+            runs = np.array(found[i], dtype=np.int64).reshape(-1, 2)
+            extra = np.array((more[i] if more else None) or (), dtype=np.int64)
+            spans, kept = cut(buf[off[i] : off[i + 1]], np.concatenate([runs[:, 0], extra]), np.concatenate([runs[:, 1], extra]), length)
+            removed.append(sum(b - a for a, b in spans))
+            all_spans.append([{"start": a, "end": b} for a, b in spans])
+            all_kept.append(kept.decode("utf-8", "ignore") if as_text else kept)
+        new = [pa.array(np.diff(off[lo : hi + 1])), pa.array(removed, pa.int64()), pa.array(all_spans, SPANS), pa.array(all_kept, pa.string() if as_text else pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *new], names=["row", "n_bytes", "n_removed", "spans", "kept"])
+
+
+def _finish_sure(length, q, known, touched, as_text):
+    """Documents without starts from level 2; rows (row, text)."""
 
     def run(batches):
         for batch, buf, off in _texts(batches):
             sure = pa.array(~touched.has(fingerprints(buf, off)))
-            batch = batch.filter(sure)
-            buf, off = text_column(batch.column(1))
-            yield from _emit(_results(buf, off, batch.column(0).to_pylist(), [None] * batch.num_rows, length, q, known))
+            yield from _results(batch.filter(sure), None, length, q, known, as_text)
 
     return run
 
 
 def _maybe_touched(touched):
+    """Rows (id, row, text), and the text's fingerprint, of documents that may have starts from level 2."""
+
     def run(batches):
         for batch, buf, off in _texts(batches):
             prints = fingerprints(buf, off)
             hit = pa.array(touched.has(prints))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(hit), pa.array(prints.view(np.int64)).filter(hit), batch.column(1).filter(hit)], names=["id", "print", "text"])
+            cols = [batch.column(0), pa.array(prints.view(np.int64)), batch.column(1), batch.column(2)]
+            yield pa.RecordBatch.from_arrays([c.filter(hit) for c in cols], names=["i", "print", "row", "text"])
 
     return run
 
 
-def _finish_touched(length, q, known):
+def _finish_touched(length, q, known, as_text):
+    """Rows (row, more, text)."""
+
     def run(batches):
-        for batch, buf, off in _texts(batches):
-            yield from _emit(_results(buf, off, batch.column(0).to_pylist(), batch.column(1).to_pylist(), length, q, known))
+        for batch in batches:
+            yield from _results(batch.select([0, 2]), batch.column(1).to_pylist(), length, q, known, as_text)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, spans, kept) for every row: bytes covered by a repeated string are removed.
-
-    ``spans`` are the maximal removed runs, as byte offsets; ``kept`` the remaining bytes.
-    """
+def _repeats(docs: DataFrame, length: int, gram: int, id_col: str, text_col: str, carry: list[str], as_text: bool) -> DataFrame:
+    """(row, n_bytes, n_removed, spans, kept): row is a struct of the columns ``carry``, by position."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    only = texts.select("text")
+    row = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry))) if carry else F.struct(F.lit(0).alias("c"))
+    full = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), row.alias("row"), F.col(text_col).cast("string").alias("text"))
+    texts = full.select("id", "text")
+    only = full.select("text")
     grams = only.mapInArrow(_gram_counts(length, gram), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     grams = bits_of(grams.where("n > 1").select("key"))
 
@@ -355,11 +352,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     starts = spark.read.parquet(f"{out}/starts")
     again = starts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
     hits = starts.where("at >= 0").select("key", "id", "print", "at").join(again, "key")
-    hits.groupBy("id", "print").agg(F.collect_list("at").alias("more")).write.parquet(f"{out}/hits")
-    hits = spark.read.parquet(f"{out}/hits")
+    hits.groupBy("id", "print").agg(F.collect_set("at").alias("more")).write.parquet(f"{out}/hits")
+    hits = spark.read.parquet(f"{out}/hits").withColumnRenamed("id", "i")
     touched = bits_of(hits.select(F.col("print").alias("key")))
 
-    sure = texts.mapInArrow(_finish_sure(length, gram, known, touched), RESULT_SCHEMA)
-    rest = texts.mapInArrow(_maybe_touched(touched), "id long, print long, text string")
-    joined = rest.withColumn("i", F.coalesce("id", F.lit(NO_ID))).join(hits.withColumnRenamed("id", "i"), ["i", "print"], "left")
-    return sure.unionAll(joined.select("id", "more", "text").mapInArrow(_finish_touched(length, gram, known), RESULT_SCHEMA))
+    kind = full.schema["row"].dataType.simpleString()
+    result = f"row {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"
+    sure = full.select("row", "text").mapInArrow(_finish_sure(length, gram, known, touched, as_text), result)
+    rest = full.mapInArrow(_maybe_touched(touched), f"i long, print long, row {kind}, text string").join(hits, ["i", "print"], "left")
+    return sure.unionAll(rest.select("row", "more", "text").mapInArrow(_finish_touched(length, gram, known, as_text), result))
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_bytes, n_removed, spans, kept) for every row: bytes covered by a repeated string are removed.
+
+    ``spans`` are the maximal removed runs, as byte offsets; ``kept`` the remaining bytes.
+    """
+    got = _repeats(docs, length, gram, id_col, text_col, [id_col], False)
+    return got.select(F.col("row.c0").cast("long").alias("id"), "n_bytes", "n_removed", "spans", "kept")
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``, the text without its repeated strings.
+
+    A character that a cut leaves incomplete goes as well; a null text becomes empty.
+    """
+    carry = [c for c in docs.columns if c != text_col]
+    got = _repeats(docs, length, gram, id_col, text_col, carry, True)
+    place = {c: F.col(f"row.c{i}") for i, c in enumerate(carry)}
+    return got.select(*(F.col("kept").alias(c) if c == text_col else place[c].alias(c) for c in docs.columns))
