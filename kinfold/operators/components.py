@@ -10,6 +10,7 @@ which adaptive execution can split.  Each round ends in a reliable checkpoint.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -21,7 +22,15 @@ def _saved(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         found = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="kinfold-")
         spark.sparkContext.setCheckpointDir(found)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    release(spark)
+    return out
+
+
+def release(spark) -> None:
+    """Let the driver drop what finished steps left: heap, and by it shuffle files and broadcasts."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

@@ -47,7 +47,7 @@ def merge(profiles: DataFrame) -> DataFrame:
     Both aggregations are keyed by the cluster, so their join needs no further exchange.
     """
     aliases = F.transform(F.concat(F.array(F.col("full_name")), F.col("name_aliases")), T.squeeze)
-    sets = profiles.withColumn("__names", aliases).withColumn("__years", T.years(F.col("dobs"))).withColumn("__sets", F.transform("datasets", T.squeeze))
+    sets = profiles.withColumn("__names", aliases).withColumn("__years", T.years(F.col("dobs")))
     facts = sets.groupBy(*CLUSTER).agg(
         F.count("*").alias("n_profiles"),
         _union("__names").alias("names"),
@@ -63,7 +63,7 @@ def merge(profiles: DataFrame) -> DataFrame:
     )
     golden = facts.join(winners(votes(profiles)), CLUSTER, "left")
     golden = golden.withColumns({n: F.coalesce(n, F.lit("")) for n in NAMES} | {"gender_values": F.coalesce("gender_values", F.array().cast(_LIST))})
-    golden = golden.withColumn("datasets", F.array_sort(F.array_distinct(F.filter(F.transform("datasets", F.trim), lambda x: x != ""))))
+    golden = golden.withColumn("datasets", F.array_sort(F.array_distinct(F.filter(F.transform("datasets", lambda x: F.trim(x)), lambda x: x != ""))))
     golden = golden.withColumn("name_aliases", F.filter("names", lambda x: x != F.col("full_name"))).drop("names")
     years = T.years(F.col("dobs"))
     seed = F.trim(F.concat(T.norm_text(F.col("full_name")), F.lit(":"), F.coalesce(F.try_element_at(years, F.lit(1)), F.lit("NODOB"))))
