@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kinfold.operators.components import release
+
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; where unset (tests), a folder of this machine."""
@@ -21,4 +23,6 @@ def shared_dir(spark: SparkSession) -> str:
 def saved(df: DataFrame) -> DataFrame:
     """A reliable checkpoint of ``df`` in the shared folder."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return out

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.shared import shared_dir
 from kinfold.llm.textbuf import PrefixHash, blocks, expand, mix64, text_column
+from kinfold.operators.components import release
 
 LENGTH = 200
 GRAM = 50
@@ -80,6 +81,7 @@ def bits_of(keys: DataFrame) -> Bits:
     out = np.zeros((1 << (BITS - PIECE), 1 << (PIECE - 3)), np.uint8)
     for r in rows.groupBy("piece").applyInPandas(piece, "piece int, bits binary").collect():
         out[r["piece"]] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
+    release(keys.sparkSession)
     return Bits(zlib.compress(out.tobytes(), 1))
 
 
