@@ -11,15 +11,18 @@ Level 0  The q-gram of a start is the smallest (by hash) of the q-grams inside
          its string; neighbouring starts share it and form a node.  Nodes whose
          q-gram occurs once are finished.
 Level 1  A node's starts all repeat if its whole hull (the union of its strings)
-         occurs again.  Each node is split into ranges of ``RANGE`` starts: a range
-         whose core (the intersection of its strings) occurs once is finished,
-         one whose hull occurs again repeats as a whole.
-Level 2  What is left, the ends of repeated passages, is refined to single starts
-         and counted against all nodes.
+         occurs again.  Each other node is split into ranges of ``WIDE`` starts; a
+         range whose core (the intersection of its strings) occurs once is finished.
+Level 2  The rest is split into ranges of ``RANGE`` starts: one whose core occurs
+         once is finished, one whose hull occurs again repeats as a whole.
+Level 3  What is left, the ends of repeated passages, is refined to single starts.
+
+From level 2 on the open nodes first name the identifiers they ask for, and all
+nodes then count those.
 
 Between levels the driver gets bitmaps of fixed size (``BITS``), whatever the input.
 A false hit only leaves a range to the next level, so results do not depend on
-them; level 2 is exact on identifiers.
+them; level 3 is exact on identifiers.
 
 Defined results: a null or empty text, or one shorter than ``length``, loses
 nothing; strings may overlap themselves; repeated rows repeat each other; null
@@ -43,13 +46,14 @@ from kinfold.operators.components import release
 
 LENGTH = 200
 GRAM = 50
+WIDE = 64
 RANGE = 16
 BITS = 26
 PIECE = 15
 BLOCK = 1 << 20
 SEGMENT = 4 << 20
 
-_U, _N, _S, _W = (np.uint64(0x9E3779B97F4A7C15 * k % 2**64) for k in (3, 5, 7, 11))
+_U, _N, _S, _W, _V = (np.uint64(0x9E3779B97F4A7C15 * k % 2**64) for k in (3, 5, 7, 11, 13))
 NO_ID = -(2**63)
 
 
@@ -108,10 +112,9 @@ class Nodes:
         self.lo = self.hi = self.gram = np.zeros(0, np.int64)
         if n < length:
             return
-        at = np.arange(n - q + 1)
-        order = mix64(self.hash.slices(at, at + q))
+        order = mix64(self.hash.every(q))
         order &= np.uint64(2**64 - 2**24)
-        order |= at.astype(np.uint64)  # ties go to the first
+        order |= np.arange(n - q + 1, dtype=np.uint64)  # ties go to the first
         pad = -len(order) % w
         grid = np.concatenate([order, np.full(pad, 2**64 - 1, np.uint64)]).reshape(-1, w)
         ahead = np.minimum.accumulate(grid, axis=1).ravel()
@@ -137,18 +140,27 @@ class Nodes:
         lo, hi = (self.lo, self.hi) if lo is None else (lo, hi)
         return mix64(self.hash.slices(lo, hi + self.length) + salt * (hi - lo + 1).astype(np.uint64))
 
-    def ranges(self):
+    def ranges(self, width: int = WIDE):
         """(node, range number, first start, last start) of all ranges of the nodes."""
-        low, high = (self.gram - self.hi) // RANGE, (self.gram - self.lo) // RANGE
+        low, high = (self.gram - self.hi) // width, (self.gram - self.lo) // width
         count = high - low + 1
         node = np.repeat(np.arange(len(low)), count)
-        s = expand(low, count)
+        return self.within(node, expand(low, count), width)
+
+    def within(self, node: np.ndarray, s: np.ndarray, width: int):
         gram = self.gram[node]
-        return node, s, np.maximum(gram - (s * RANGE + RANGE - 1), self.lo[node]), np.minimum(gram - s * RANGE, self.hi[node])
+        return node, s, np.maximum(gram - (s * width + width - 1), self.lo[node]), np.minimum(gram - s * width, self.hi[node])
 
-    def core_keys(self, node: np.ndarray, s: np.ndarray) -> np.ndarray:
-        at = self.gram[node] - s * RANGE
-        return mix64(self.hash.slices(at, at + self.length - RANGE + 1) + _N * (s + 1).astype(np.uint64))
+    def split(self, node: np.ndarray, s: np.ndarray):
+        """The narrow ranges of wide ones."""
+        per = WIDE // RANGE
+        node, s, lo, hi = self.within(np.repeat(node, per), np.repeat(s * per, per) + np.tile(np.arange(per), len(s)), RANGE)
+        real = lo <= hi
+        return node[real], s[real], lo[real], hi[real]
+
+    def core_keys(self, node: np.ndarray, s: np.ndarray, width: int) -> np.ndarray:
+        at = self.gram[node] - s * width
+        return mix64(self.hash.slices(at, at + self.length - width + 1) + (_N if width == RANGE else _V) * (s + 1).astype(np.uint64))
 
     def start_keys(self, p: np.ndarray) -> np.ndarray:
         return mix64(self.hash.slices(p, p + self.length) + _W)
@@ -174,39 +186,86 @@ def _gram_counts(length: int, q: int):
     return run
 
 
-def _range_counts(length: int, q: int, grams: Bits):
-    """Identifiers of hulls (kind 1), cores (2) and hulls of ranges (3) of the open nodes."""
+def _counted(*kinds) -> pa.RecordBatch:
+    """Rows (key, n, kind) of distinct identifiers by kind."""
+    each = [(k, *np.unique(keys, return_counts=True)) for k, keys in kinds]
+    return _table(
+        key=np.concatenate([x[1] for x in each]).view(np.int64), n=np.concatenate([x[2] for x in each]).astype(np.int64), kind=np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in each])
+    )
+
+
+def _wide_counts(length: int, q: int, grams: Bits):
+    """Identifiers of hulls (kind 1) and of the cores of wide ranges (2)."""
 
     def run(batches):
         for _, buf, off in _texts(batches):
             for _, at, o in segments(off, length):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
                 x.keep(grams.has(x.gram_keys()))
-                node, s, lo, hi = x.ranges()
-                for kind, keys in ((1, x.hull_keys()), (2, x.core_keys(node, s)), (3, x.hull_keys(lo, hi, _S))):
-                    keys, n = np.unique(keys, return_counts=True)
-                    yield _table(key=keys.view(np.int64), n=n, kind=np.full(len(n), kind, np.int32))
+                node, s, _, _ = x.ranges()
+                yield _counted((1, x.hull_keys()), (2, x.core_keys(node, s, WIDE)))
 
     return run
 
 
 class Levels:
-    """What is known after level 1: bitmaps of repeated q-grams, unrepeated hulls, repeated cores, unrepeated range hulls."""
+    """What is known so far, as bitmaps.
+
+    grams: repeated q-grams; hulls: unrepeated hulls of nodes; wide: repeated cores
+    of wide ranges; cores, parts: repeated cores and unrepeated hulls of narrow ones.
+    """
 
-    def __init__(self, grams: Bits, hulls: Bits, cores: Bits, parts: Bits):
-        self.grams, self.hulls, self.cores, self.parts = grams, hulls, cores, parts
+    def __init__(self, grams: Bits, hulls: Bits, wide: Bits, cores: Bits | None = None, parts: Bits | None = None):
+        self.grams, self.hulls, self.wide, self.cores, self.parts = grams, hulls, wide, cores, parts
 
-    def settle(self, x: Nodes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(firsts, lasts) of runs of starts that repeat, and the starts still open; keeps the open nodes in x."""
+    def candidates(self, x: Nodes):
+        """(open nodes, narrow ranges in wide ones with a repeated core); keeps the nodes with a repeated q-gram in x."""
         x.keep(self.grams.has(x.gram_keys()))
-        open_node = self.hulls.has(x.hull_keys())
-        node, s, lo, hi = x.ranges()
-        part = open_node[node] & self.cores.has(x.core_keys(node, s))
-        node, s, lo, hi = node[part], s[part], lo[part], hi[part]
-        left = self.parts.has(x.hull_keys(lo, hi, _S))
-        first = np.concatenate([x.lo[~open_node], lo[~left]])
-        last = np.concatenate([x.hi[~open_node], hi[~left]])
-        return first, last, expand(lo[left], hi[left] - lo[left] + 1)
+        node, s, _, _ = x.ranges()
+        again = self.wide.has(x.core_keys(node, s, WIDE))
+        return self.hulls.has(x.hull_keys()), x.split(node[again], s[again])
+
+    def settle(self, x: Nodes):
+        """(firsts, lasts) of runs of starts that repeat; (first, last, open node) of ranges whose core repeats."""
+        open_node, (node, s, lo, hi) = self.candidates(x)
+        again = self.cores.has(x.core_keys(node, s, RANGE))
+        node, lo, hi = node[again], lo[again], hi[again]
+        mine = open_node[node]
+        unsure = np.zeros(len(lo), bool)
+        unsure[mine] = self.parts.has(x.hull_keys(lo[mine], hi[mine], _S))
+        sure = mine & ~unsure
+        first = np.concatenate([x.lo[~open_node], lo[sure]])
+        last = np.concatenate([x.hi[~open_node], hi[sure]])
+        return first, last, (lo, hi, unsure)
+
+
+def _asked(length: int, q: int, known: Levels):
+    """Identifiers that the open nodes ask for at level 2."""
+
+    def run(batches):
+        for _, buf, off in _texts(batches):
+            for _, at, o in segments(off, length):
+                x = Nodes(buf[at : at + o[-1]], o, length, q)
+                open_node, (node, s, lo, hi) = known.candidates(x)
+                mine = open_node[node]
+                keys = np.concatenate([x.core_keys(node[mine], s[mine], RANGE), x.hull_keys(lo[mine], hi[mine], _S)])
+                yield _table(key=np.unique(keys).view(np.int64))
+
+    return run
+
+
+def _narrow_counts(length: int, q: int, known: Levels, asked: Bits):
+    """Counts, over all nodes, of the asked identifiers: cores (kind 1) and hulls (2) of narrow ranges."""
+
+    def run(batches):
+        for _, buf, off in _texts(batches):
+            for _, at, o in segments(off, length):
+                x = Nodes(buf[at : at + o[-1]], o, length, q)
+                _, (node, s, lo, hi) = known.candidates(x)
+                cores, hulls = x.core_keys(node, s, RANGE), x.hull_keys(lo, hi, _S)
+                yield _counted((1, cores[asked.has(cores)]), (2, hulls[asked.has(hulls)]))
+
+    return run
 
 
 def _open_starts(length: int, q: int, known: Levels):
@@ -214,7 +273,8 @@ def _open_starts(length: int, q: int, known: Levels):
         for _, buf, off in _texts(batches):
             for _, at, o in segments(off, length):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
-                _, _, p = known.settle(x)
+                _, _, (lo, hi, unsure) = known.settle(x)
+                p = expand(lo[unsure], (hi - lo + 1)[unsure])
                 yield _table(key=np.unique(x.start_keys(p)).view(np.int64))
 
     return run
@@ -229,23 +289,22 @@ def fingerprints(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def _start_rows(length: int, q: int, known: Levels, wanted: Bits):
-    """Starts of all open nodes whose identifier is wanted: open ones with their place, others counted."""
+    """Starts in ranges with a repeated core whose identifier is wanted: open ones with their place, others counted."""
 
     def run(batches):
         for batch, buf, off in _texts(batches):
-            ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             prints = fingerprints(buf, off).view(np.int64)
             for doc, at, o in segments(off, length):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
-                x.keep(known.grams.has(x.gram_keys()))
-                every = expand(x.lo, x.hi - x.lo + 1)
-                keys = x.start_keys(every)
+                _, _, (lo, hi, unsure) = known.settle(x)
+                p, mine = expand(lo, hi - lo + 1), np.repeat(unsure, hi - lo + 1)
+                keys = x.start_keys(p)
                 hit = wanted.has(keys)
-                every, keys = every[hit], keys[hit]
-                _, _, p = known.settle(x)
-                mine = np.isin(every, p)
-                place = doc + np.searchsorted(o, every[mine], side="right") - 1
-                yield _table(key=keys[mine].view(np.int64), n=np.ones(int(mine.sum()), np.int64), id=ids[place], print=prints[place], at=at + every[mine] - off[place])
+                p, mine, keys = p[hit], mine[hit], keys[hit]
+                place = doc + np.searchsorted(o, p[mine], side="right") - 1
+                if len(place):
+                    yield _table(key=keys[mine].view(np.int64), n=np.ones(len(place), np.int64), id=ids[place], print=prints[place], at=at + p[mine] - off[place])
                 keys, n = np.unique(keys[~mine], return_counts=True)
                 if len(keys):
                     yield _table(key=keys.view(np.int64), n=n, id=np.zeros(len(n), np.int64), print=np.zeros(len(n), np.int64), at=np.full(len(n), -1))
@@ -344,10 +403,17 @@ def _repeats(docs: DataFrame, length: int, gram: int, id_col: str, text_col: str
     grams = bits_of(grams.where("n > 1").select("key"))
 
     out = f"{shared_dir(spark)}/repeats-{uuid.uuid4().hex}"
-    ranges = only.mapInArrow(_range_counts(length, gram, grams), "key long, n long, kind int").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    ranges.where("(kind = 2 and n > 1) or (kind <> 2 and n = 1)").select("kind", "key").write.parquet(f"{out}/ranges")
-    ranges = spark.read.parquet(f"{out}/ranges")
-    known = Levels(grams, *(bits_of(ranges.where(F.col("kind") == k).select("key")) for k in (1, 2, 3)))
+    counts = "key long, n long, kind int"
+
+    def sums(rows: DataFrame, name: str, keep: str) -> list[Bits]:
+        rows.groupBy("kind", "key").agg(F.sum("n").alias("n")).where(keep).select("kind", "key").write.parquet(f"{out}/{name}")
+        found = spark.read.parquet(f"{out}/{name}")
+        return [bits_of(found.where(F.col("kind") == k).select("key")) for k in (1, 2)]
+
+    known = Levels(grams, *sums(only.mapInArrow(_wide_counts(length, gram, grams), counts), "wide", "(kind = 1 and n = 1) or (kind = 2 and n > 1)"))
+    asked = bits_of(only.mapInArrow(_asked(length, gram, known), "key long").distinct())
+    narrow = sums(only.mapInArrow(_narrow_counts(length, gram, known, asked), counts), "narrow", "(kind = 1 and n > 1) or (kind = 2 and n = 1)")
+    known = Levels(known.grams, known.hulls, known.wide, *narrow)
 
     wanted = bits_of(only.mapInArrow(_open_starts(length, gram, known), "key long").distinct())
     texts.mapInArrow(_start_rows(length, gram, known, wanted), START_ROWS).write.parquet(f"{out}/starts")

@@ -61,6 +61,10 @@ class PrefixHash:
         self.prefix = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(table[buf] * pw[:n], out=self.prefix[1:])
 
+    def every(self, size: int) -> np.ndarray:
+        """Fingerprints of all slices of ``size`` bytes."""
+        return (self.prefix[size:] - self.prefix[: len(self.prefix) - size]) * self.inv[: len(self.prefix) - size]
+
     def slices(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.prefix[end] - self.prefix[start]) * self.inv[start]
 
