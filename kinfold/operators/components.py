@@ -5,29 +5,46 @@ its closed neighbourhood and the edges are rewritten to the images; a new order
 is drawn for each round, so paths and stars alike shrink by a constant factor in
 expectation.  Neighbourhood minima are pre-aggregated before their exchange, so
 a hub costs one row per task, and the rewriting joins are plain inner joins,
-which adaptive execution can split.  Each round ends in a reliable checkpoint.
+which adaptive execution can split.  Each round ends in a table in the shared folder.
 """
 
 from __future__ import annotations
 
 import gc
+import itertools
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_count = itertools.count()
 
-def _saved(df: DataFrame) -> DataFrame:
+
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session; where unset (tests), a folder of this machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        found = "file://" + tempfile.mkdtemp(prefix="kinfold-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again.
+
+    Unlike a checkpoint, the table carries no constraints of the plan that made it;
+    those grow with each round of an iteration until they fill the driver.
+    """
     spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        found = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="kinfold-")
-        spark.sparkContext.setCheckpointDir(found)
-    out = df.checkpoint(eager=True)
-    release(spark)
-    return out
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if next(_count) % 4 == 3:
+        release(spark)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark) -> None:
+def release(spark: SparkSession) -> None:
     """Let the driver drop what finished steps left: heap, and by it shuffle files and broadcasts."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
@@ -40,7 +57,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     listed.  An empty edge table has no rows.  Ids must be of an orderable type.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
-    left = _saved(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    left = saved(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     loops = left.where("a = b").select(F.col("a").alias("id"), F.col("a").alias("to"))
     left = left.where("a <> b")
     maps: list[DataFrame] = []
@@ -49,10 +66,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(round_no)).alias("h"), F.col(c).alias("v"))
         both = left.select("a", rank("b").alias("r")).unionAll(left.select(F.col("b").alias("a"), rank("a").alias("r")))
         best = both.groupBy("a").agg(F.min("r").alias("r"))
-        step = _saved(best.select(F.col("a").alias("id"), F.least(F.col("r"), rank("a"))["v"].alias("to")))
+        step = saved(best.select(F.col("a").alias("id"), F.least(F.col("r"), rank("a"))["v"].alias("to")))
         one, two = step.select(F.col("id").alias("a"), F.col("to").alias("x")), step.select(F.col("id").alias("b"), F.col("to").alias("y"))
         moved = left.join(one, "a").join(two, "b").where("x <> y")
-        left = _saved(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        left = saved(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         maps.append(step)
         round_no += 1
     if not maps:
@@ -61,7 +78,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     for step in maps[1:]:
         nxt = step.select(F.col("id").alias("to"), F.col("to").alias("then"))
         label = label.join(nxt, "to", "left").select("id", F.coalesce("then", "to").alias("to"))
-    label = _saved(label)
+    label = saved(label)
     alone = loops.join(label.select("id"), "id", "left_anti")
     low = label.groupBy("to").agg(F.min("id").alias("component"))
     return label.join(low, "to").select("id", "component").unionAll(alone.select("id", F.col("to").alias("component")))

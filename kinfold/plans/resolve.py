@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kinfold.config import ResolverOptions
 from kinfold.operators import blocking as B
-from kinfold.operators.components import _saved, connected_components
+from kinfold.operators.components import saved, connected_components
 from kinfold.operators.golden import merge, with_json
 from kinfold.operators.matching import match_edges, scored_pairs
 from kinfold.operators.split import split_components
@@ -36,15 +36,15 @@ class Resolution:
 def resolve(profiles: DataFrame, max_block: int = 500) -> Resolution:
     """Block, compare, unite and split profiles (see ``complete`` for their columns)."""
     profiles = complete(profiles)
-    coded = _saved(B.with_codes(B.features(profiles)))
-    keys = _saved(B.blocking_keys(coded))
+    coded = saved(B.with_codes(B.features(profiles)))
+    keys = saved(B.blocking_keys(coded))
     refined = B.refined_keys(keys, coded, max_block)
-    pairs = _saved(B.candidate_pairs(refined))
-    edges = _saved(match_edges(scored_pairs(pairs, coded)))
+    pairs = saved(B.candidate_pairs(refined))
+    edges = saved(match_edges(scored_pairs(pairs, coded)))
     found = connected_components(edges, "a", "b").withColumnRenamed("id", "idx")
     members = coded.select("idx", "full_name", "years", "aliases").join(found, "idx", "left")
     members = members.withColumn("component", F.coalesce("component", "idx"))
-    return Resolution(profiles, coded, keys, refined, pairs, edges, _saved(split_components(members)))
+    return Resolution(profiles, coded, keys, refined, pairs, edges, saved(split_components(members)))
 
 
 def golden_records(run: Resolution, options: ResolverOptions, version_ms: int | None = None) -> DataFrame:
@@ -70,6 +70,6 @@ def run_folder(spark: SparkSession, source: str, out: str | Path, options: Resol
         return None
     options.source_dir = options.source_dir or str(source)
     run = resolve(loaded.profiles, options.max_block_size)
-    golden = _saved(golden_records(run, options))
+    golden = saved(golden_records(run, options))
     got = export(golden, Path(out), options, single)
     return got | {"rejected": loaded.rejected.count(), "stats": comparison_stats(run, options.max_block_size)}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.functions.country import normalize
-from kinfold.operators.components import _saved
+from kinfold.operators.components import saved
 from kinfold.schema import BAGS, DATED_BAGS, complete
 
 _EMPTY = ("null", "false", "0", "0.0", '""', "[]", "{}")
@@ -79,7 +79,7 @@ def read_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
     """``rows`` with ``idx``: their rank in ``order``, by a range sort and counts per partition."""
-    placed = _saved(rows.orderBy(*order).withColumn("__m", F.monotonically_increasing_id()))
+    placed = saved(rows.orderBy(*order).withColumn("__m", F.monotonically_increasing_id()))
     pid = F.shiftright("__m", 33)
     counts = placed.groupBy(pid.alias("__p")).agg(F.count("*").alias("n"))
     before = counts.select("__p", F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
