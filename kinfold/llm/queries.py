@@ -36,6 +36,30 @@ def op3_bpe_transducer(spark: SparkSession, d: str) -> DataFrame:
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def media(spark: SparkSession, d: str) -> DataFrame:
+    """(vec_id, image): the tables hold no images, so each row of embeddings gets one, by its id.
+
+    Four neighbouring ids share a picture: plain, cropped, relit with noise, turned and cropped.
+    """
+    import pandas as pd
+
+    from kinfold.llm.images import draw, edited, encode_pgm
+
+    def paint(batches):
+        for pdf in batches:
+            ids = pdf["vec_id"].tolist()
+            yield pd.DataFrame({"vec_id": ids, "image": [encode_pgm(edited(draw(i // 4), i % 4, i)) for i in ids]})
+
+    ids = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id")
+    return ids.mapInPandas(paint, "vec_id long, image binary")
+
+
+def op4_local_descriptors(spark: SparkSession, d: str) -> DataFrame:
+    from kinfold.llm.images import image_copies
+
+    return image_copies(media(spark, d), id_col="vec_id")
+
+
 def held_out(doc_id) -> Column:
     """Rows that no label may be learnt from: crc32 of the id's decimal text, mod 3, is 1."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1

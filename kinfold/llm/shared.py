@@ -1,28 +1,7 @@
-"""The folder that the driver and all executors share."""
+"""The folder that the driver and all executors share, and tables in it."""
 
 from __future__ import annotations
 
-import tempfile
+from kinfold.operators.components import release, saved, shared_dir
 
-from pyspark.sql import DataFrame, SparkSession
-
-from kinfold.operators.components import release
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where unset (tests), a folder of this machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="kinfold-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of ``df`` in the shared folder."""
-    shared_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    release(df.sparkSession)
-    return out
+__all__ = ["release", "saved", "shared_dir"]

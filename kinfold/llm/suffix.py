@@ -40,9 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import shared_dir
+from kinfold.llm.shared import release, shared_dir
 from kinfold.llm.textbuf import PrefixHash, blocks, expand, mix64, text_column
-from kinfold.operators.components import release
 
 LENGTH = 200
 GRAM = 50
