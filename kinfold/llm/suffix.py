@@ -48,7 +48,7 @@ GRAM = 50
 WIDE = 64
 RANGE = 16
 BITS = 26
-PIECE = 15
+PIECE = 18
 BLOCK = 1 << 20
 SEGMENT = 4 << 20
 
