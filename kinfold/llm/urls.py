@@ -1,8 +1,9 @@
 """URL filter: host word segmentation and multinomial naive Bayes (operator 10).
 
 Host labels and path segments are split at non-alphanumerics, and each name is
-then segmented by unigram Viterbi: the word costs come from counts over all URLs
-plus a small dictionary, unknown words pay by length.  A multinomial naive Bayes
+then segmented by unigram Viterbi: the word costs come from counts over the paths
+of all URLs (host names are what is to be split) and a small dictionary, unknown
+words pay by length.  A multinomial naive Bayes
 over the segmented host and path tokens gives the verdict.  Its examples are all
 URLs themselves: those with a word of ``BLOCK_WORDS`` count as blocked, the
 others as allowed, so words that go with such names are learnt from the corpus.
@@ -32,7 +33,9 @@ BUCKETS = 1 << 16
 LONGEST = 24
 MEMO = 200_000
 #: Unknown words: cost of a first character and of each further one, in nats.
-UNKNOWN, UNKNOWN_MORE = 9.0, 2.2
+UNKNOWN, UNKNOWN_MORE = 12.0, 1.8
+#: Cost of each word, so that scraps of unknown names are not taken for words.
+SEGMENT = 4.0
 #: Smoothing of naive Bayes counts.
 ALPHA = 0.1
 
@@ -96,11 +99,9 @@ class Segmenter:
         self.words = {w: min(math.log(total) - math.log(10.0 + counts[bucket(w)]), UNKNOWN) for w in dictionary}
         self.memo: dict[str, list[str]] = {}
 
-    def cost(self, word: str, whole: bool) -> float:
-        known = self.words.get(word, math.inf)
-        if whole:  # hashed counts are of whole names
-            known = min(known, float(self.cost_of[bucket(word)]))
-        return min(known, UNKNOWN + UNKNOWN_MORE * (len(word) - 1))
+    def cost(self, word: str) -> float:
+        known = min(self.words.get(word, math.inf), float(self.cost_of[bucket(word)]))
+        return min(known, UNKNOWN + UNKNOWN_MORE * (len(word) - 1)) + SEGMENT
 
     def split(self, name: str) -> list[str]:
         got = self.memo.get(name)
@@ -114,7 +115,7 @@ class Segmenter:
         best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
         for end in range(1, len(name) + 1):
             for at in range(max(0, end - LONGEST), end):
-                c = best[at] + self.cost(name[at:end], at == 0 and end == len(name))
+                c = best[at] + self.cost(name[at:end])
                 if c < best[end]:
                     best[end], back[end] = c, at
         out, end = [], len(name)
@@ -172,7 +173,7 @@ def fit(parts: DataFrame) -> UrlModel:
 
     def cells(batches):
         for pdf in batches:
-            found = [bucket(n) for h, p in zip(pdf["host"], pdf["path"]) for n in names(h) + names(p)]
+            found = [bucket(n) for p in pdf["path"] for n in names(p)]
             yield pd.DataFrame({"cell": np.array(found, dtype=np.int32)})
 
     counts = _hashed_counts(parts.mapInPandas(cells, "cell int"), BUCKETS)
