@@ -287,8 +287,23 @@ def fingerprints(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _start_rows(length: int, q: int, known: Levels, wanted: Bits):
-    """Starts in ranges with a repeated core whose identifier is wanted: open ones with their place, others counted."""
+def _start_counts(length: int, q: int, known: Levels, wanted: Bits):
+    """Counts, over all ranges with a repeated core, of the wanted starts."""
+
+    def run(batches):
+        for _, buf, off in _texts(batches):
+            for _, at, o in segments(off, length):
+                x = Nodes(buf[at : at + o[-1]], o, length, q)
+                _, _, (lo, hi, _) = known.settle(x)
+                keys = x.start_keys(expand(lo, hi - lo + 1))
+                keys, n = np.unique(keys[wanted.has(keys)], return_counts=True)
+                yield _table(key=keys.view(np.int64), n=n)
+
+    return run
+
+
+def _start_places(length: int, q: int, known: Levels, again: Bits):
+    """Places of the open starts that may repeat."""
 
     def run(batches):
         for batch, buf, off in _texts(batches):
@@ -297,21 +312,16 @@ def _start_rows(length: int, q: int, known: Levels, wanted: Bits):
             for doc, at, o in segments(off, length):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
                 _, _, (lo, hi, unsure) = known.settle(x)
-                p, mine = expand(lo, hi - lo + 1), np.repeat(unsure, hi - lo + 1)
+                p = expand(lo[unsure], (hi - lo + 1)[unsure])
                 keys = x.start_keys(p)
-                hit = wanted.has(keys)
-                p, mine, keys = p[hit], mine[hit], keys[hit]
-                place = doc + np.searchsorted(o, p[mine], side="right") - 1
-                if len(place):
-                    yield _table(key=keys[mine].view(np.int64), n=np.ones(len(place), np.int64), id=ids[place], print=prints[place], at=at + p[mine] - off[place])
-                keys, n = np.unique(keys[~mine], return_counts=True)
-                if len(keys):
-                    yield _table(key=keys.view(np.int64), n=n, id=np.zeros(len(n), np.int64), print=np.zeros(len(n), np.int64), at=np.full(len(n), -1))
+                hit = again.has(keys)
+                p, keys = p[hit], keys[hit]
+                place = doc + np.searchsorted(o, p, side="right") - 1
+                yield _table(key=keys.view(np.int64), id=ids[place], print=prints[place], at=at + p - off[place])
 
     return run
 
 
-START_ROWS = "key long, n long, id long, print long, at long"
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 EMIT = 8 << 20
 
@@ -415,10 +425,11 @@ def _repeats(docs: DataFrame, length: int, gram: int, id_col: str, text_col: str
     known = Levels(known.grams, known.hulls, known.wide, *narrow)
 
     wanted = bits_of(only.mapInArrow(_open_starts(length, gram, known), "key long").distinct())
-    texts.mapInArrow(_start_rows(length, gram, known, wanted), START_ROWS).write.parquet(f"{out}/starts")
-    starts = spark.read.parquet(f"{out}/starts")
-    again = starts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-    hits = starts.where("at >= 0").select("key", "id", "print", "at").join(again, "key")
+    starts = only.mapInArrow(_start_counts(length, gram, known, wanted), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    starts.where("n > 1").select("key").write.parquet(f"{out}/again")
+    again = spark.read.parquet(f"{out}/again")
+    places = texts.mapInArrow(_start_places(length, gram, known, bits_of(again)), "key long, id long, print long, at long")
+    hits = places.join(again, "key")
     hits.groupBy("id", "print").agg(F.collect_set("at").alias("more")).write.parquet(f"{out}/hits")
     hits = spark.read.parquet(f"{out}/hits").withColumnRenamed("id", "i")
     touched = bits_of(hits.select(F.col("print").alias("key")))
