@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("api")
     p.add_argument("--host", default="0.0.0.0")
     p.add_argument("--port", type=int, default=8000)
+    p.add_argument("--prefix", default="", help="path before the routes /meta, /file, /delta/meta and /delta/file")
     p.add_argument("--reload", action="store_true", help="accepted; the server reads its files anew for each request")
     return top
 
@@ -65,7 +66,7 @@ def main(argv: list[str] | None = None, registry: Registry | None = None, settin
     else:
         from kinfold.service import ExportService, server
 
-        server(ExportService(settings.output_dir, settings.PROVIDER_NAME), args.host, args.port).serve_forever()
+        server(ExportService(settings.output_dir, settings.PROVIDER_NAME), args.host, args.port, args.prefix).serve_forever()
         got = None
     print(json.dumps(got, default=str, ensure_ascii=False))
     return got

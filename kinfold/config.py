@@ -10,7 +10,7 @@ from pathlib import Path
 @dataclass
 class Settings:
     PROJECT_NAME: str = "AML Project"
-    PROVIDER_NAME: str = "AmaniAI"
+    PROVIDER_NAME: str = "kinfold"
     SANCTIONS_CONCURRENCY: int = 3
     LOG_LEVEL: str = "INFO"
     DATA_LAKE_DIR: str = field(default_factory=lambda: str(Path.cwd() / "data"))
@@ -50,7 +50,7 @@ class ResolverOptions:
     """The knobs of a resolver run."""
 
     max_block_size: int = 500
-    provider: str = "AmaniAI"
+    provider: str = "kinfold"
     enable_delta: bool = True
     state_file: str | None = None
     excluded_data_fields: tuple[str, ...] = ("provider_version", "evidences", "notes")

@@ -432,7 +432,7 @@ def _data_sql(skip: tuple[str, ...], order: bool) -> str:
         "middleName": "'\"\"'",
         "lastName": "'\"' || last_name || '\"'",
         "gender": "CASE WHEN gender IS NULL THEN 'null' ELSE '\"' || gender || '\"' END",
-        "provider": "'\"AmaniAI\"'",
+        "provider": "'\"kinfold\"'",
         "provider_version": f"'{VERSION_MS}'",
         "isDeleted": "CAST(gone AS VARCHAR)",
         "isDeceased": "CAST(dead AS VARCHAR)",

@@ -79,10 +79,10 @@ class ExportService:
         return self._meta(f"{self.provider}_delta_meta.json")[1]
 
 
-def server(service: ExportService, host: str = "0.0.0.0", port: int = 8000) -> ThreadingHTTPServer:
-    """An HTTP server of the service; call ``serve_forever`` on it."""
-    pages = {"/": service.health, "/amani/meta": service.full_manifest, "/amani/delta/meta": service.delta_manifest}
-    files = {"/amani/file": service.full_file, "/amani/delta/file": service.delta_file}
+def server(service: ExportService, host: str = "0.0.0.0", port: int = 8000, prefix: str = "") -> ThreadingHTTPServer:
+    """An HTTP server of the service, its routes below ``prefix``; call ``serve_forever`` on it."""
+    pages = {"/": service.health, f"{prefix}/meta": service.full_manifest, f"{prefix}/delta/meta": service.delta_manifest}
+    files = {f"{prefix}/file": service.full_file, f"{prefix}/delta/file": service.delta_file}
 
     class Handler(BaseHTTPRequestHandler):
         def do_GET(self):

@@ -215,3 +215,23 @@ def test_cli(capsys):
     assert main(["version"])["version"]
     assert main(["pipeline", "--no-sanctions", "--no-media"], Registry(), Settings(), lambda: "ok")["resolver"] == "OK"
     assert main(["sources", "--media"], Registry(media={"m": {}}))[0]["kind"] == "media"
+
+
+def test_http(tmp_path):
+    import threading
+    import urllib.error
+    import urllib.request
+
+    from kinfold.service import server
+
+    (tmp_path / "P_1.jsonl.gz").write_bytes(b"data")
+    (tmp_path / "P_meta.json").write_text(json.dumps({"file": "P_1.jsonl.gz", "records": 1, "exported_at_iso": "1970-01-01T00:00:01"}))
+    web = server(ExportService(tmp_path, "P"), "127.0.0.1", 0, "/x")
+    threading.Thread(target=web.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{web.server_address[1]}"
+    get = lambda p: urllib.request.urlopen(base + p).read()
+    assert json.loads(get("/")) == {"ok": True, "provider": "P"}
+    assert json.loads(get("/x/meta"))["timestamp"] == 1000 and get("/x/file") == b"data"
+    with pytest.raises(urllib.error.HTTPError):
+        get("/x/delta/meta")
+    web.shutdown()
