@@ -7,7 +7,6 @@ variants of the name, aliases, birth dates and nationality texts.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ from kinfold.functions.similarity import with_ratio
 from kinfold.operators import blocking as B
 from kinfold.operators import delta as D
 from kinfold.operators import golden as G
-from kinfold.operators.components import connected_components
+from kinfold.operators.components import connected_components, shared_dir
 from kinfold.operators.matching import match_edges, scored_pairs
 from kinfold.plans.resolve import golden_records, resolve
 from kinfold.schema import complete
@@ -273,7 +272,7 @@ def jsonl_roundtrip(spark, d):
     v = _view(spark, d)
     data = F.struct(F.col("full_name").alias("fullName"), F.filter(F.array("alias1", "alias2"), lambda x: x.isNotNull()).alias("nameAliases"), F.filter(F.array("dob1", "dob2"), lambda x: x.isNotNull()).alias("datesOfBirthIso"), F.col("nat").alias("nationality"), "gender")
     line = F.to_json(F.struct(data.alias("data"), F.array("dataset").alias("datasets")))
-    out = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='kinfold-')}/roundtrip-{uuid.uuid4().hex}"
+    out = f"{shared_dir(spark)}/roundtrip-{uuid.uuid4().hex}"
     v.select(line.alias("value")).write.option("compression", "gzip").text(out)
     lines = spark.read.text(out).select(F.col("value").alias("line"))
     parsed = lines.withColumn("v", F.try_parse_json("line"))
