@@ -7,8 +7,10 @@ words pay by length.  A multinomial naive Bayes
 over the segmented host and path tokens gives the verdict.  Its examples are all
 URLs themselves: those with a word of ``BLOCK_WORDS`` count as blocked, the
 others as allowed, so words that go with such names are learnt from the corpus.
-Both count tables are hashed into ``BUCKETS`` cells, which bounds what the driver
-gets; the counts themselves cover every row.
+Both count tables are exact: one row per word, held as sorted 64-bit fingerprints
+that each look-up compares, so a word that was not counted never gets another's
+count.  What can be told without a row is left out: words counted once are not
+words, and a token of the table without a row stood once, in an allowed URL.
 
 Rules (host, path, verdict) come before the model: a rule fits its host and all
 subdomains when the URL's path starts with the rule's; the longest rule wins.
@@ -20,15 +22,20 @@ each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.llm.shared import saved
+
+#: Cells of counts that are given as an array, for small vocabularies.
 BUCKETS = 1 << 16
 LONGEST = 24
 MEMO = 200_000
@@ -36,6 +43,8 @@ MEMO = 200_000
 UNKNOWN, UNKNOWN_MORE = 12.0, 1.8
 #: Cost of each word, so that scraps of unknown names are not taken for words.
 SEGMENT = 4.0
+#: What a dictionary word counts without being seen: so much, or this share of all counted words.
+PRIOR, PRIOR_SHARE = 10.0, 1e-3
 #: Smoothing of naive Bayes counts.
 ALPHA = 0.1
 
@@ -84,24 +93,60 @@ def bucket(word: str) -> int:
     return zlib.crc32(word.encode()) % BUCKETS
 
 
+def fingerprints(found: list[str]) -> np.ndarray:
+    """64-bit fingerprints of words."""
+    return np.frombuffer(b"".join(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest() for w in found), np.int64)
+
+
+class Words:
+    """Counts by word: sorted fingerprints, one row of counts each, and the total of all words."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, total: float):
+        order = np.argsort(keys)
+        self.keys, self.counts, self.total = keys[order], counts[order], float(total)
+
+    @classmethod
+    def of_cells(cls, cells: np.ndarray) -> Words:
+        """Counts hashed into ``BUCKETS`` cells, for small vocabularies."""
+        got = cls(np.arange(len(cells)), cells, cells.sum())
+        got.key_of = lambda found: np.array([bucket(w) for w in found], np.int64)
+        return got
+
+    key_of = staticmethod(fingerprints)
+
+    def find(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(whether a word has a row, its place)."""
+        if not len(self.keys) or not found:
+            return np.zeros(len(found), bool), np.zeros(len(found), np.int64)
+        keys = self.key_of(found)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, at
+
+    def of(self, found: list[str]) -> np.ndarray:
+        """Counts of words, 0 without a row."""
+        has, at = self.find(found)
+        return np.where(has, self.counts[at], 0) if len(self.keys) else np.zeros(len(found))
+
+
 def names(text: str) -> list[str]:
     """Runs of letters, runs of digits as one token, and hyphens, in lower case."""
     return ["0" if x[0].isdigit() else x for x in re.findall(r"\d+|[^\W\d_]+|-+", text.lower())]
 
 
 class Segmenter:
-    """Unigram Viterbi over hashed counts and a dictionary."""
+    """Unigram Viterbi over counts by word and a dictionary."""
 
-    def __init__(self, counts: np.ndarray, dictionary: list[str]):
-        total = float(counts.sum()) + 10.0 * len(dictionary) + 1.0
-        seen = np.where(counts > 0, counts, 1)
-        self.cost_of = np.where(counts > 1, np.log(total) - np.log(seen), np.inf)
-        self.words = {w: min(math.log(total) - math.log(10.0 + counts[bucket(w)]), UNKNOWN) for w in dictionary}
+    def __init__(self, counts: Words | np.ndarray, dictionary: list[str]):
+        self.counts = Words.of_cells(counts) if isinstance(counts, np.ndarray) else counts
+        prior = max(PRIOR, PRIOR_SHARE * self.counts.total)
+        self.log_total = math.log(self.counts.total + prior * len(dictionary) + 1.0)
+        self.words = {w: min(self.log_total - math.log(prior + n), UNKNOWN) for w, n in zip(dictionary, self.counts.of(dictionary))}
         self.memo: dict[str, list[str]] = {}
 
-    def cost(self, word: str) -> float:
-        known = min(self.words.get(word, math.inf), float(self.cost_of[bucket(word)]))
-        return min(known, UNKNOWN + UNKNOWN_MORE * (len(word) - 1)) + SEGMENT
+    def costs(self, found: list[str]) -> list[float]:
+        counts = self.counts.of(found)
+        seen = np.where(counts > 1, self.log_total - np.log(np.maximum(counts, 1)), np.inf)
+        return [min(c, self.words.get(w, math.inf), UNKNOWN + UNKNOWN_MORE * (len(w) - 1)) + SEGMENT for w, c in zip(found, seen.tolist())]
 
     def split(self, name: str) -> list[str]:
         got = self.memo.get(name)
@@ -114,8 +159,9 @@ class Segmenter:
     def _split(self, name: str) -> list[str]:
         best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
         for end in range(1, len(name) + 1):
-            for at in range(max(0, end - LONGEST), end):
-                c = best[at] + self.cost(name[at:end])
+            first = max(0, end - LONGEST)
+            for at, cost in enumerate(self.costs([name[k:end] for k in range(first, end)]), first):
+                c = best[at] + cost
                 if c < best[end]:
                     best[end], back[end] = c, at
         out, end = [], len(name)
@@ -137,59 +183,82 @@ def looks_blocked(tokens: list[str]) -> bool:
     return len(found) > 1 or any(w not in _WEAK for w in found)
 
 
-def _hashed_counts(df: DataFrame, width: int) -> np.ndarray:
-    """Counts by (bucket) or (label, bucket): at most ``width`` rows reach the driver."""
-    out = np.zeros(width)
-    for r in df.groupBy("cell").agg(F.count("*").alias("n")).collect():
-        out[r["cell"]] = r["n"]
-    return out
-
-
 class UrlModel:
-    """Segmenter and naive Bayes; ``blocked(host, path)`` is the posterior of the blocked class."""
+    """Segmenter and naive Bayes; ``blocked(host, path)`` is the posterior of the blocked class.
 
-    def __init__(self, counts: np.ndarray, classes: np.ndarray | None = None):
+    ``classes`` has the counts (allowed, blocked) of tokens, those that stood once
+    and in an allowed URL left out; ``sums`` the tokens of each class and the
+    distinct ones, ``docs`` the URLs of each class.
+    """
+
+    def __init__(self, counts: Words | np.ndarray, classes: Words | None = None, sums: tuple[float, float, int] = (0, 0, 0), docs: tuple[int, int] = (0, 0)):
         self.segmenter = Segmenter(counts, BLOCK_WORDS + ALLOW_WORDS)
-        self.weights = np.zeros(BUCKETS)
-        self.bias = 0.0
+        self.classes = classes
+        self.bias = self.once = 0.0
         if classes is not None:
-            tokens, docs = classes[: 2 * BUCKETS].reshape(2, BUCKETS), classes[2 * BUCKETS :]
-            for w in BLOCK_WORDS:
-                if w not in _WEAK:
-                    tokens[1, bucket(f"h:{w}")] += 1  # each word is an example by itself
-            seen = int((tokens.sum(axis=0) > 0).sum())
-            like = np.log(tokens + ALPHA) - np.log(tokens.sum(axis=1, keepdims=True) + ALPHA * seen)
-            self.weights = like[1] - like[0]
-            self.weights[tokens.sum(axis=0) == 0] = 0.0  # a word never seen tells nothing
+            examples = [f"h:{w}" for w in BLOCK_WORDS if w not in _WEAK]  # each word is an example by itself
+            has, at = classes.find(examples)
+            n = classes.counts.astype(float).reshape(-1, 2)
+            n[at[has], 1] += 1
+            # an example without a row may have stood once, in an allowed URL, whose label this word would have made blocked: so it never stood
+            new = [e for e, h in zip(examples, has) if not h]
+            keys = np.concatenate([classes.keys, fingerprints(new)])
+            n = np.concatenate([n, np.tile([0.0, 1.0], (len(new), 1))])
+            seen = sums[2] + len(new)
+            size = np.array([sums[0], sums[1] + len(examples)])
+            base = np.log(size + ALPHA * max(seen, 1))
+            like = np.log(n + ALPHA) - base
+            self.once = math.log(ALPHA) - base[1] - (math.log(1 + ALPHA) - base[0])
+            self.classes = Words(keys, like[:, 1] - like[:, 0], 0)
             self.bias = math.log(docs[1] + 1.0) - math.log(docs[0] + 1.0)
 
     def blocked(self, host: str, path: str) -> float:
-        x = self.bias + sum(self.weights[bucket(t)] for t in self.segmenter.tokens(host, path))
+        """The posterior of a URL of the table that the model is fitted on."""
+        tokens = self.segmenter.tokens(host, path)
+        x = self.bias
+        if tokens and self.classes is not None:
+            has, at = self.classes.find(tokens)
+            x += float(np.where(has, self.classes.counts[at], self.once).sum())
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, x))))
 
 
+def _arrays(df: DataFrame) -> list[np.ndarray]:
+    table = df.toArrow()
+    return [table.column(i).to_numpy() for i in range(table.num_columns)]
+
+
 def fit(parts: DataFrame) -> UrlModel:
     """The model of a table (host, path): two passes of counting over all rows."""
 
     def cells(batches):
         for pdf in batches:
-            found = [bucket(n) for p in pdf["path"] for n in names(p)]
-            yield pd.DataFrame({"cell": np.array(found, dtype=np.int32)})
+            found = Counter(n for p in pdf["path"] for n in names(p))
+            yield pd.DataFrame({"key": fingerprints(list(found)), "n": np.array(list(found.values()), np.int64)})
 
-    counts = _hashed_counts(parts.mapInPandas(cells, "cell int"), BUCKETS)
+    table = saved(parts.mapInPandas(cells, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    total = table.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    counts = Words(*_arrays(table.where("n > 1").select("key", "n")), total)
     first = UrlModel(counts)
 
     def labelled(batches):
         for pdf in batches:
-            found: list[int] = []
+            found: tuple[Counter, Counter] = Counter(), Counter()
+            docs = [0, 0]
             for h, p in zip(pdf["host"], pdf["path"]):
                 tokens = first.segmenter.tokens(h, p)
                 y = int(looks_blocked(tokens))
-                found.append(2 * BUCKETS + y)
-                found += [y * BUCKETS + bucket(t) for t in tokens]
-            yield pd.DataFrame({"cell": np.array(found, dtype=np.int32)})
-
-    return UrlModel(counts, _hashed_counts(parts.mapInPandas(labelled, "cell int"), 2 * BUCKETS + 2))
+                docs[y] += 1
+                found[y].update(tokens)
+            every = list(found[0].keys() | found[1].keys())
+            yield pd.DataFrame({"kind": 0, "key": fingerprints(every), "n0": [found[0][w] for w in every], "n1": [found[1][w] for w in every]})
+            yield pd.DataFrame({"kind": [1], "key": [0], "n0": [docs[0]], "n1": [docs[1]]})
+
+    table = saved(parts.mapInPandas(labelled, "kind int, key long, n0 long, n1 long").groupBy("kind", "key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    sums = {r["kind"]: r for r in table.groupBy("kind").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("n")).collect()}
+    key, n0, n1 = _arrays(table.where("kind = 0 and (n0 <> 1 or n1 <> 0)").select("key", "n0", "n1"))
+    tokens = (sums[0]["n0"], sums[0]["n1"], sums[0]["n"]) if 0 in sums else (0, 0, 0)
+    docs = (sums[1]["n0"], sums[1]["n1"]) if 1 in sums else (0, 0)
+    return UrlModel(counts, Words(key, np.stack([n0, n1], axis=1), 0), tokens, docs)
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -128,6 +128,26 @@ def test_url_filter(spark):
     assert U.filter_urls(df.limit(0), rules).count() == 0
 
 
+def test_names_split_among_many_words(spark):
+    """Host names are split however many distinct words the paths hold (65,536 cells before)."""
+    rnd = random.Random(3)
+    vocabulary = ["".join(rnd.choice("bcdfghjklmnpqrstvwxz") + rnd.choice("aeiou") for _ in range(4)) for _ in range(150_000)]
+    rows = [(i, "http://site.org/" + "/".join(vocabulary[i * 50 : i * 50 + 50] * 2)) for i in range(3000)]
+    bad = ["freepoker.org", "casinobonus.net", "cheappills.org", "nakedpayday.com"]
+    rows += [(10_000 + i, f"http://{h}/a") for i, h in enumerate(bad)]
+    df = spark.createDataFrame(rows, "page_id long, url string").repartition(4)
+    got = {r.page_id: r.verdict for r in U.filter_urls(df, []).collect()}
+    assert [got[10_000 + i] for i in range(len(bad))] == ["block"] * len(bad)
+    assert got[0] == got[2999] == "allow"
+
+
+def test_dictionary_among_many_counts():
+    counts = np.zeros(U.BUCKETS)
+    counts[U.bucket("www")] += 50_000_000
+    s = U.Segmenter(counts, U.BLOCK_WORDS + U.ALLOW_WORDS)
+    assert s.split("freepoker") == ["free", "poker"] and s.split("zqvxkjwpt") == ["zqvxkjwpt"]
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     import corpus_pipeline as C
 
