@@ -3,7 +3,10 @@
 A page is read into text blocks in page order; a block ends where a block-level
 element begins or ends.  Within each host pages are ordered by URL path, and the
 text lines of neighbours are aligned by longest common subsequence: lines that a
-page shares with a neighbour are the site's and are deleted.
+page shares with a neighbour are the site's and are deleted.  A page's neighbours
+are the nearest ones before and after it whose open lines differ from its own, so
+copies of a page (crawled twice, mirrored) don't delete each other; a neighbour
+that shares ``COPY`` of the open text of both is a copy with changes, and tells nothing.
 
 Differencing alone cannot give right results: menus, adverts and footers may be
 worded anew on each page, and articles may share paragraphs with a neighbour
@@ -13,7 +16,8 @@ dropped, and lines inside a declared article are kept.  All lines that the marku
 leaves open are settled by differencing.
 
 Defined results: a null or empty page has an empty text; unclosed and stray tags
-are tolerated; repeated rows are pages of their own; extra columns are ignored;
+are tolerated; repeated rows are pages of their own, with the same text; a page
+whose neighbours are all copies keeps its open lines; extra columns are ignored;
 a missing URL counts as an empty host and path; an empty table gives no rows.
 """
 
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,6 +58,8 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(
 SPACE = re.compile(r"\s+")
 
 CHROME_LINE, OPEN_LINE, ARTICLE_LINE = 0, 1, 2
+#: Share of the open characters of both pages that makes a neighbour a copy.
+COPY = 0.9
 
 
 def _marked(name: str, attributes: str) -> bool:
@@ -195,13 +202,16 @@ def common(a: list, b: list) -> set[int]:
     return out
 
 
-def article(page: list[tuple[int, str]], neighbours: list[list[str]]) -> list[str]:
-    """The lines of an article: those declared as one, and open lines that no neighbour shares."""
+def article(page: list[tuple[int, str]], neighbours: list[list[tuple[int, str]]]) -> list[str]:
+    """The lines of an article: those declared as one, and open lines that no neighbour but a copy shares."""
     own = [t for _, t in page]
+    size = sum(len(t) for k, t in page if k == OPEN_LINE)
     shared: set[int] = set()
-    if any(k == OPEN_LINE for k, _ in page):
-        for other in neighbours:
-            shared |= common(own, other)
+    for other in neighbours if size else ():
+        found = common(own, [t for _, t in other])
+        same = sum(len(page[i][1]) for i in found if page[i][0] == OPEN_LINE)
+        if same < COPY * max(size, sum(len(t) for k, t in other if k == OPEN_LINE)):
+            shared |= found
     return [t for i, (k, t) in enumerate(page) if k == ARTICLE_LINE or k == OPEN_LINE and i not in shared]
 
 
@@ -220,34 +230,54 @@ def _parse(batches):
         )
 
 
+def _open(page: list[tuple[int, str]]) -> list[str]:
+    return [t for k, t in page if k == OPEN_LINE]
+
+
 def _difference(batches):
-    """Rows sorted by (host, path): each page against the one before and the one after it in its host."""
+    """Rows sorted by (host, path): each run of pages with equal open lines against the pages before and after it in its host."""
 
     def rows():
         for batch in batches:
-            yield from zip(*(batch.column(i).to_pylist() for i in range(5)))
+            for i, url, host, kinds, texts in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                yield i, url, host, tuple(zip(kinds, texts))
 
     def emit(out):
         ids, urls, texts = zip(*out)
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["id", "url", "text"])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
-    def settle(before, now, after):
-        page = list(zip(now[3], now[4]))
-        near = [x[4] for x in (before, after) if x is not None and x[2] == now[2]]
-        return now[0], now[1], "\n\n".join(article(page, near))
+    def settle(run, before, after):
+        """(id, url, text) of a run: rows by equal pages, each page settled once; pages without open lines don't wait in one."""
+        near = [x for x in (before, after) if x is not None]
+        for page, found in run.items():
+            text = "\n\n".join(article(page, near))
+            yield from ((i, url, text) for i, url in found)
 
-    before = now = None
     out, size = [], 0
-    for after in rows():
-        if now is not None:
-            out.append(settle(before, now, after))
-            size += len(out[-1][2])
-            if size > 4 << 20:
-                yield emit(out)
-                out, size = [], 0
-        before, now = now, after
-    if now is not None:
-        out.append(settle(before, now, None))
+    run: dict[tuple, list] = {}
+    host = lines_of = before = last = None
+
+    for row in chain(rows(), [None]):
+        if row is None or row[2] != host or _open(row[3]) != lines_of:
+            stays = row is not None and row[2] == host
+            for done in settle(run, before, row[3] if stays else None):
+                out.append(done)
+                size += len(done[2])
+                if size > 4 << 20:
+                    yield emit(out)
+                    out, size = [], 0
+            if row is None:
+                break
+            before, run, host, lines_of = last if stays else None, {}, row[2], _open(row[3])
+        last = row[3]
+        if lines_of:
+            run.setdefault(last, []).append(row[:2])
+            continue
+        out += settle({last: [row[:2]]}, None, None)
+        size += len(out[-1][2])
+        if size > 4 << 20:
+            yield emit(out)
+            out, size = [], 0
     if out:
         yield emit(out)
 

@@ -102,6 +102,31 @@ def test_differencing_between_neighbours(spark):
     assert H.extract(df.limit(0)).count() == 0
 
 
+def extracted(spark, rows, partitions):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        return {r.page_id: r.text for r in H.extract(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_copies_do_not_delete_each_other(spark):
+    story = "a long story of its own that nobody else tells, told at some length, with a turn and an end " * 4
+
+    def page(i, more=""):
+        return f"<div>Site name</div><p>{i} {story}</p><p>{i} second {story}</p><p>All rights{more}</p>"
+
+    rows = [(i, f"http://h.org/{i // 3}", page(i // 3)) for i in range(9)]  # each crawled three times
+    rows += [(20 + i, f"http://m.org/{'ab'[i]}", page(7)) for i in range(2)]  # mirrored, nothing else there
+    rows += [(30 + i, f"http://n.org/{i}", page(7, f" {i}")) for i in range(2)]  # copies with changes
+    got = extracted(spark, rows, 1)
+    own = [f"{i} {story}".strip() + "\n\n" + f"{i} second {story}".strip() for i in range(9)]
+    assert {i: got[i] for i in range(9)} == {i: own[i // 3] for i in range(9)}
+    assert got[20] == got[21] == f"Site name\n\n{own[7]}\n\nAll rights"
+    assert got[30] == f"Site name\n\n{own[7]}\n\nAll rights 0"
+
+
 def test_segmentation():
     counts = np.zeros(U.BUCKETS)
     for w, n in (("ththen", 500), ("www", 900), ("example", 900)):
