@@ -25,13 +25,15 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.urls import url_parts
+from kinfold.llm.shared import saved
+from kinfold.llm.urls import fingerprints, url_parts
 
 #: Elements whose content is not text.
 HIDDEN = frozenset("script style noscript template svg math head title iframe object canvas audio video select datalist textarea".split())
@@ -215,32 +217,99 @@ def article(page: list[tuple[int, str]], neighbours: list[list[tuple[int, str]]]
     return [t for i, (k, t) in enumerate(page) if k == ARTICLE_LINE or k == OPEN_LINE and i not in shared]
 
 
-def _parse(batches):
-    for batch in batches:
-        kinds, texts, off = [], [], [0]
-        for page in batch.column(4).to_pylist():
-            for k, t in lines(page or ""):
-                kinds.append(k)
-                texts.append(t)
-            off.append(len(kinds))
-        offs = pa.array(off, pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(i) for i in range(4)), pa.ListArray.from_arrays(offs, pa.array(kinds, pa.int32())), pa.ListArray.from_arrays(offs, pa.array(texts, pa.string()))],
-            names=["id", "url", "host", "path", "kinds", "texts"],
-        )
+def _place(host: str, path: str, i: int | None) -> tuple:
+    """The order of pages, as Spark sorts (host, path, id)."""
+    return host, path, i is not None, i or 0
+
+
+def _parse(bounds: list[tuple], whole: bool):
+    """Rows with their part of the order, the fingerprint of their open lines and, if ``whole``, their lines."""
+
+    def run(batches):
+        for batch in batches:
+            kinds, texts, off, opens = [], [], [0], []
+            for page in batch.column(4).to_pylist():
+                found = lines(page or "")
+                opens.append("\n".join(_open(found)))
+                if whole:
+                    kinds += [k for k, _ in found]
+                    texts += [t for _, t in found]
+                off.append(len(kinds))
+            places = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(0).to_pylist())
+            parts = pa.array([bisect_right(bounds, _place(*x)) for x in places], pa.int32())
+            got = [parts, pa.array(fingerprints(opens)), *(batch.column(i) for i in range(4))]
+            if whole:
+                offs = pa.array(off, pa.int32())
+                got += [pa.ListArray.from_arrays(offs, pa.array(kinds, pa.int32())), pa.ListArray.from_arrays(offs, pa.array(texts, pa.string()))]
+            yield pa.RecordBatch.from_arrays(got, names=["part", "fp", "id", "url", "host", "path", "kinds", "texts"][: len(got)])
+
+    return run
+
+
+def _bounds(keys: DataFrame, n: int) -> list[tuple]:
+    """Places that cut the pages into about ``n`` parts of like size, from a sample."""
+    share = 100.0 * n / max(1, keys.count())
+    got = sorted(_place(*r) for r in (keys if share >= 1 else keys.sample(share, seed=1)).collect())
+    return sorted({got[len(got) * k // n] for k in range(1, n)}) if got else []
+
+
+def _beyond(rows: DataFrame, bounds: list[tuple]) -> dict[int, tuple[list, list]]:
+    """For each part, the two nearest pages of different open lines before it and after it, in the host at that border.
+
+    Of two, one at least differs from any page at the border.  Each part gives its
+    first and last two such pages; parts of copies of one page are looked through.
+    """
+    light = rows.mapInArrow(_parse(bounds, False), "part int, fp long, id long, url string, host string, path string")
+    at = F.struct("path", "id")
+    marks = saved(light.groupBy("part", "host", "fp").agg(F.min(at).alias("lo"), F.max(at).alias("hi")))
+    first, final = F.struct("host", "lo", "fp"), F.struct("host", "hi", "fp")
+    one = marks.groupBy("part").agg(F.min(first).alias("f1"), F.max(final).alias("l1"))
+    other = lambda x: (F.col("host") != F.col(f"{x}.host")) | (F.col("fp") != F.col(f"{x}.fp"))
+    two = marks.join(F.broadcast(one), "part").groupBy("part").agg(F.first("f1").alias("f1"), F.min(F.when(other("f1"), first)).alias("f2"), F.first("l1").alias("l1"), F.max(F.when(other("l1"), final)).alias("l2"))
+    flat = lambda r: r and (r[0], r[1][0], r[1][1], r[2])  # noqa: E731  # host, path, id, fp
+    ends = {r["part"]: tuple(flat(r[k]) for k in ("f1", "f2", "l1", "l2")) for r in two.collect()}
+    order = sorted(ends)
+
+    def look(host, parts, at):
+        found: list[tuple] = []
+        for part in parts:
+            for x in ends[part][at : at + 2]:
+                if x is None:
+                    continue
+                if x[0] != host:
+                    return found
+                if all(x[3] != y[3] for y in found):
+                    found.append(x)
+                if len(found) == 2:
+                    return found
+        return found
+
+    near = {part: (look(ends[part][0][0], reversed(order[:k]), 2), look(ends[part][2][0], order[k + 1 :], 0)) for k, part in enumerate(order)}
+    want = sorted({x for sides in near.values() for side in sides for x in side}, key=lambda x: (_place(*x[:3]), x[3]))
+    if not want:
+        return {}
+    keys = F.broadcast(rows.sparkSession.createDataFrame(want, "host string, path string, id long, fp long"))
+    same = lambda x: (x["host"] == keys["host"]) & (x["path"] == keys["path"]) & x["id"].eqNullSafe(keys["id"])
+    parsed = rows.join(keys, same(rows), "left_semi").mapInArrow(_parse([], True), PARSED)
+    parsed = parsed.join(keys, same(parsed) & (parsed["fp"] == keys["fp"]), "left_semi").dropDuplicates(["host", "path", "id", "fp"])
+    pages = {(r["host"], r["path"], r["id"], r["fp"]): tuple(zip(r["kinds"], r["texts"])) for r in parsed.collect()}
+    return {part: tuple([(x[0], pages[x]) for x in side] for side in sides) for part, sides in near.items()}
+
+
+PARSED = "part int, fp long, id long, url string, host string, path string, kinds array<int>, texts array<string>"
 
 
 def _open(page: list[tuple[int, str]]) -> list[str]:
     return [t for k, t in page if k == OPEN_LINE]
 
 
-def _difference(batches):
-    """Rows sorted by (host, path): each run of pages with equal open lines against the pages before and after it in its host."""
+def _difference(beyond: dict[int, tuple[list, list]]):
+    """Rows sorted by (part, host, path): each run of pages with equal open lines against the pages before and after it in its host."""
 
-    def rows():
+    def rows(batches):
         for batch in batches:
-            for i, url, host, kinds, texts in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                yield i, url, host, tuple(zip(kinds, texts))
+            for part, i, url, host, kinds, texts in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                yield part, host, tuple(zip(kinds, texts)), (i, url)
 
     def emit(out):
         ids, urls, texts = zip(*out)
@@ -253,46 +322,57 @@ def _difference(batches):
             text = "\n\n".join(article(page, near))
             yield from ((i, url, text) for i, url in found)
 
-    out, size = [], 0
-    run: dict[tuple, list] = {}
-    host = lines_of = before = last = None
-
-    for row in chain(rows(), [None]):
-        if row is None or row[2] != host or _open(row[3]) != lines_of:
-            stays = row is not None and row[2] == host
-            for done in settle(run, before, row[3] if stays else None):
-                out.append(done)
-                size += len(done[2])
-                if size > 4 << 20:
-                    yield emit(out)
-                    out, size = [], 0
-            if row is None:
-                break
-            before, run, host, lines_of = last if stays else None, {}, row[2], _open(row[3])
-        last = row[3]
-        if lines_of:
-            run.setdefault(last, []).append(row[:2])
-            continue
-        out += settle({last: [row[:2]]}, None, None)
-        size += len(out[-1][2])
-        if size > 4 << 20:
+    def outside(part, side, host, lines_of):
+        """The nearest page beyond a border that isn't of the run."""
+        found = beyond.get(part, ([], []))[side]
+        return next((page for h, page in found if h == host and _open(page) != lines_of), None)
+
+    def run(batches):
+        out, size = [], 0
+        group: dict[tuple, list] = {}
+        part = host = lines_of = before = last = None
+        for row in chain(rows(batches), [None]):
+            if row is None or row[:2] != (part, host) or _open(row[2]) != lines_of:
+                stays = row is not None and row[:2] == (part, host)
+                if group:
+                    after = row[2] if stays else None if row is not None and row[0] == part else outside(part, 1, host, lines_of)
+                    done = list(settle(group, before, after))
+                    out += done
+                    size += sum(len(x[2]) for x in done)
+                if row is None:
+                    break
+                now = _open(row[2])
+                before = last if stays else None if row[0] == part else outside(row[0], 0, row[1], now)
+                group, part, host, lines_of = {}, row[0], row[1], now
+            last = row[2]
+            if lines_of:
+                group.setdefault(last, []).append(row[3])
+            else:
+                out += settle({last: [row[3]]}, None, None)
+                size += len(out[-1][2])
+            if size > 4 << 20:
+                yield emit(out)
+                out, size = [], 0
+        if out:
             yield emit(out)
-            out, size = [], 0
-    if out:
-        yield emit(out)
+
+    return run
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text) of whole pages; blocks of the text are joined by an empty line.
 
-    One range exchange of the parsed lines by (host, path), so a hot host is spread
-    over tasks; at a border between tasks a page has one neighbour instead of two.
+    The pages' order by (host, path, id) is cut into parts, so a hot host is spread
+    over tasks, and the parsed lines are exchanged once; each part is given the pages
+    at its borders, so the text doesn't depend on the number of parts.
     """
     host, path = url_parts(F.col("__url"))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("__url"), F.col(html_col).cast("string").alias("html"))
     rows = rows.select("id", F.col("__url").alias("url"), host.alias("host"), path.alias("path"), "html")
-    parsed = rows.mapInArrow(_parse, "id long, url string, host string, path string, kinds array<int>, texts array<string>")
     n = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    near = parsed.repartitionByRange(n, "host", "path", "id").sortWithinPartitions("host", "path", "id")
-    got = near.select("id", "url", "host", "kinds", "texts").mapInArrow(_difference, "id long, url string, text string")
+    bounds = _bounds(rows.select("host", "path", "id"), n)
+    beyond = _beyond(rows, bounds) if bounds else {}
+    parsed = rows.mapInArrow(_parse(bounds, True), PARSED)
+    near = parsed.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "host", "path", "id")
+    got = near.select("part", "id", "url", "host", "kinds", "texts").mapInArrow(_difference(beyond), "id long, url string, text string")
     return got.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")

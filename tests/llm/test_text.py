@@ -127,6 +127,16 @@ def test_copies_do_not_delete_each_other(spark):
     assert got[30] == f"Site name\n\n{own[7]}\n\nAll rights 0"
 
 
+def test_text_does_not_depend_on_parts(spark):
+    """Pages look over the borders of parts, through parts of copies, and not into other hosts."""
+    rows = [(i, f"http://h.org/a/{i:02d}", f"<div>Site name</div><p>Story {i}</p><p>All rights</p>") for i in range(14)]
+    rows += [(20 + i, "http://h.org/a/05", "<div>Site name</div><p>Story 5</p><p>All rights</p>") for i in range(10)]
+    rows += [(40, "http://i.org/x", "<div>Site name</div><p>Alone</p>"), (None, "http://h.org/a/07", "<p>Site name</p><p>No id</p>")]
+    want = {i: f"Story {i}" for i in range(14)} | {20 + i: "Story 5" for i in range(10)} | {40: "Site name\n\nAlone", None: "No id"}
+    for n in (1, 3, 40):
+        assert extracted(spark, rows, n) == want
+
+
 def test_segmentation():
     counts = np.zeros(U.BUCKETS)
     for w, n in (("ththen", 500), ("www", 900), ("example", 900)):
