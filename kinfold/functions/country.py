@@ -1,8 +1,8 @@
 """Nationality texts to ISO 3166 alpha-2 codes.
 
 The dictionary is a parameter: a table of (token, codes) rows, looked up with
-case.  The default one below covers common English names and demonyms; whole
-vocabularies are loaded with ``load_table``.
+case.  The default one is the reference's whole dictionary and a few names more;
+others are loaded with ``load_table``.
 """
 
 from __future__ import annotations
@@ -12,35 +12,25 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Names, each with its code.
-NAMES = """Afghanistan AF; Afghan AF; Albania AL; Algeria DZ; Algerian DZ; Andorra AD; Angola AO; Argentina AR; Armenia AM;
-Australia AU; Austria AT; Azerbaijan AZ; Bahrain BH; Bangladesh BD; Bangladeshi BD; Belarus BY; Belgium BE; Belgian BE;
-Bolivia BO; Botswana BW; Brazil BR; British GB; Bulgaria BG; Cambodia KH; Cameroon CM; Canada CA; Canadian CA; Chad TD;
-Chile CL; China CN; Chinese CN; Colombia CO; Croatia HR; Cuba CU; Cyprus CY; Denmark DK; Ecuador EC; Egypt EG;
-Egyptian EG; Eritrea ER; Estonia EE; Ethiopia ET; Finland FI; France FR; French FR; Georgia GE; Germany DE; German DE;
-Ghana GH; Greece GR; Guinea GN; Haiti HT; Hungary HU; Iceland IS; India IN; Indian IN; Indonesia ID; Indonesian ID; Iran IR;
-Iranian IR; Iraq IQ; Iraqi IQ; Ireland IE; Israel IL; Italy IT; Italian IT; Japan JP; Jordan JO; Jordanian JO; Kazakhstan KZ;
-Kenya KE; Kuwait KW; Kyrgyzstan KG; Latvia LV; Lebanon LB; Lebanese LB; Liberia LR; Libya LY; Libyan LY; Lithuania LT;
-Malaysia MY; Mali ML; Malta MT; Mexico MX; Moldova MD; Monaco MC; Morocco MA; Moroccan MA; Myanmar MM; Nepal NP;
-Netherlands NL; Nigeria NG; Norway NO; Oman OM; Pakistan PK; Pakistani PK; Palestine PS; Panama PA; Peru PE; Philippines PH;
-Poland PL; Portugal PT; Qatar QA; Romania RO; Russia RU; Russian Federation RU; Rwanda RW; Saudi Arabia SA; Senegal SN;
-Serbia RS; Singapore SG; Slovakia SK; Somalia SO; South Africa ZA; South Sudan SS; Spain ES; Spanish ES; Sri Lanka LK;
-Sudan SD; Sudanese SD; Sweden SE; Switzerland CH; Syria SY; Syrian SY; Tajikistan TJ; Tanzania TZ; Thailand TH; Tunisia TN;
-Tunisian TN; Turkey TR; Turkish TR; Türkiye TR; Uganda UG; Ukraine UA; United Arab Emirates AE; United Kingdom GB;
-United States US; United States of America US; Uzbekistan UZ; Venezuela VE; Vietnam VN; Yemen YE; Yemeni YE; Zambia ZM;
-Zimbabwe ZW; Hong Kong HK; Україна UA; Росія RU; Єгипет EG; Ємен YE; Сирія SY; Франція FR; Китай CN; Пакистан PK"""
+from kinfold.functions.country_table import TABLE
+
+#: Names that the reference's dictionary lacks, each with its code.
+NAMES = """Canadian CA; Hong Kong HK; Iranian IR; Italian IT; Lebanese LB; Spanish ES; Sudanese SD; Syrian SY; Росія RU"""
 
 
 def default_table() -> dict[str, list[str]]:
-    pairs = (x.strip().rsplit(" ", 1) for x in NAMES.replace("\n", " ").split(";"))
-    return {name: [code] for name, code in pairs}
+    pairs = (x.strip().rsplit(" ", 1) for x in NAMES.split(";"))
+    return _lists(TABLE) | {name: [code] for name, code in pairs}
+
+
+def _lists(raw: dict) -> dict[str, list[str]]:
+    return {k: [v] if isinstance(v, str) else [c for c in v or () if isinstance(c, str)] for k, v in raw.items()}
 
 
 def load_table(path: str) -> dict[str, list[str]]:
     """A dictionary from JSON: token to code, list of codes, or null (no country)."""
     with open(path, encoding="utf-8") as f:
-        raw = json.load(f)
-    return {k: [v] if isinstance(v, str) else [c for c in v or () if isinstance(c, str)] for k, v in raw.items()}
+        return _lists(json.load(f))
 
 
 _EMPTY = "array<string>"

@@ -1,6 +1,7 @@
 """Text, country, phonetic and similarity functions on small tables."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,30 @@ def test_country(spark, value, codes):
     assert one(spark, [value], C.normalize, "array<string>") == [codes]
 
 
+def test_country_default_covers_the_reference(spark):
+    """All 458 keys, each against a plain form of the reference's rules."""
+    table = C.default_table()
+
+    def clean(s):
+        s = re.sub(r"\s+", " ", s.replace("\u00a0", " ").replace("’", "'").replace("“", '"').replace("”", '"')).strip()
+        s = re.sub(r"\s*(-\s*NDE|-\s*Non\s*ADB\s*Member\s*Country|\(\s*as\s*at\s*(Dec\.?|\w+)\s*\d{4}\s*\))\s*$", "", s, flags=re.I).strip()
+        return re.sub(r"\.+$", "", s).strip()
+
+    def codes(text):
+        if re.fullmatch("[A-Za-z]{2}", text.strip()):
+            return [text.strip().upper()]
+        out = []
+        for token in filter(None, map(clean, re.split(r"\s*(?:;|,|/|\||&|\+|\band\b)\s*", text.strip(), flags=re.I))):
+            less = clean(re.sub(r"\bRepublic\s+of\b", "", re.sub(r"\bRep\.?\s*of\b", "", token, flags=re.I).strip(), flags=re.I).strip())
+            out += [token.upper()] if re.fullmatch("[A-Za-z]{2}", token) else table.get(token) or table.get(less) or []
+        return list(dict.fromkeys(out))
+
+    assert len(table) == 458 + 9 and {"BA", "CD", "CZ", "KP", "KR", "LU", "ME", "MK", "MN", "MZ", "NZ", "PY", "TM", "TW", "UY", "XK"} <= {c for v in table.values() for c in v}
+    assert table["Afghanistan, Pakistan"] == ["AF", "PK"] and table["Hamas Terrorist Attacks"] == []
+    keys = sorted(table)
+    assert one(spark, [[k] for k in keys], C.normalize, "array<string>") == [codes(k) for k in keys]
+
+
 def test_country_table_is_a_parameter(spark):
     table = {"Bosnia and Herzegovina": ["BA"], "Both": ["AA", "BB"], "No one": []}
     assert one(spark, [["Both", "No one", "Bosnia and Herzegovina"]], lambda c: C.normalize(c, table), "array<string>") == [["AA", "BB"]]
