@@ -3,9 +3,11 @@
 Exact copies are folded first.  In each pass the distinct vectors are ordered
 lexicographically by a concatenation of random sign hashes, and every vector is
 compared, in double precision, with its neighbours in a bounded window of that
-order; verified pairs of all passes are united into components.  A pass misses a
-pair only if its order separates the two, independently of other passes, so the
-chance to miss a pair falls exponentially in ``passes``.  Links are counted
+order; verified pairs of all passes are united into components.  An order is cut
+into parts that overlap by more than a window, by a sample.  A pass misses a pair
+only if its order separates the two, independently of other passes, so the chance
+to miss a pair falls exponentially in the passes.  Rounds of ``passes`` new orders
+are made until one adds no link between components.  Links are counted
 exactly afterwards: both ends of a link share a component, so each component is
 compared with itself in blocks.  Nothing is capped: components beyond a block
 are spread over the pairs of their blocks.
@@ -45,9 +47,32 @@ def _unit(rows: list[np.ndarray]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _keys(passes: int, bits: int, seed: int):
+def _keys(passes: int, bits: int, seed: int, cuts: dict[int, list[tuple[np.ndarray, np.ndarray]]] | None = None):
+    """The rows' keys; with ``cuts``, one row per pass and part that a vector is in."""
     planes: dict[int, np.ndarray] = {}
 
+    def emit(batch, size, out):
+        if cuts is None:
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, passes, dtype=np.int32)), pa.array(out.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(size, pa.int32()), keys], names=["dim", "keys"])
+            return
+        for turn in range(passes):
+            rows, parts = [], []
+            for dim in np.unique(size):
+                at = np.flatnonzero(size == dim)
+                begin, early = cuts.get(int(dim), [(np.zeros(0, np.int64),) * 2] * passes)[turn]
+                own, last = np.searchsorted(begin, out[at, turn], "right"), np.searchsorted(early, out[at, turn], "right")
+                for more in range(int((last - own).max()) + 1):  # the parts from its own to the last whose overlap it is in
+                    inside = own + more <= last
+                    rows.append(at[inside])
+                    parts.append((own + more)[inside])
+            take = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+            n = len(take)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, turn), pa.int32()), pa.array(size[take], pa.int32()), pa.array(np.concatenate(parts) if rows else take, pa.int32()), pa.array(out[take, turn], pa.int64()), batch.column(0).take(pa.array(take)), batch.column(1).take(pa.array(take))],
+                names=["pass", "dim", "part", "key", "rep", "vec"],
+            )
+
     def run(batches):
         for batch in batches:
             rows = _matrix(batch.column(1))
@@ -61,8 +86,7 @@ def _keys(passes: int, bits: int, seed: int):
                     part = at[lo : lo + 4096]
                     signs = (_unit([rows[i] for i in part]) @ planes[dim] >= 0).reshape(len(part), passes, bits)
                     out[part] = signs @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
-            keys = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, passes, dtype=np.int32)), pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], names=["rep", "vec", "keys"])
+            yield from emit(batch, size, out)
 
     return run
 
@@ -87,8 +111,30 @@ class _Forest:
         return a != b
 
 
+def _cuts(reps: DataFrame, total: int, parts: int, passes: int, bits: int, seed: int, window: int) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+    """By length and pass: the keys at which parts begin, and the earlier ones at which their overlaps do.
+
+    The overlap is as long as two windows and five draws of the sample, so that it
+    holds a window in spite of the sample's chance.
+    """
+    wanted = 100 * max(1, -(-parts // passes))
+    few = reps if total <= wanted else reps.sample(min(1.0, wanted / total), seed=seed)
+    by: dict[int, list] = {}
+    for r in few.select("rep", "vec").mapInArrow(_keys(passes, bits, seed), "dim int, keys array<long>").collect():
+        by.setdefault(r["dim"], []).append(r["keys"])
+    drawn = sum(map(len, by.values()))
+    out = {}
+    for dim, rows in by.items():
+        keys = np.sort(np.array(rows, np.int64), axis=0)
+        back = int(2 * window * drawn / max(1, total)) + 5
+        n = min(max(1, round(parts / passes * len(keys) / drawn)), max(1, len(keys) // (3 * back)))
+        at = np.array([len(keys) * k // n for k in range(1, n)], np.int64)
+        out[dim] = [(keys[at, i], keys[np.maximum(at - back, 0), i]) for i in range(passes)]
+    return out
+
+
 def _window_links(window: int, least: float):
-    """Spanning links of each pass's order, for rows sorted by (pass, length, key)."""
+    """Spanning links of each pass's order, for rows sorted by (pass, length, part, key)."""
 
     def run(batches):
         forest = _Forest()
@@ -108,9 +154,10 @@ def _window_links(window: int, least: float):
 
         for batch in batches:
             where = batch.column(0).to_numpy(zero_copy_only=False)
+            part = batch.column(1).to_numpy(zero_copy_only=False)
             all_ids = batch.column(2).to_numpy(zero_copy_only=False)
             rows = _matrix(batch.column(3))
-            group = np.array([(p, len(r)) for p, r in zip(where, rows)], dtype=np.int64).reshape(-1, 2)
+            group = np.array([(p, len(r), k) for p, r, k in zip(where, rows, part)], dtype=np.int64).reshape(-1, 3)
             cut = np.flatnonzero(np.any(group[1:] != group[:-1], axis=1)) + 1
             for lo, hi in zip([0, *cut], [*cut, len(rows)]):
                 if lo == hi:
@@ -184,9 +231,9 @@ def _block_counts(least: float):
 def near_vectors(vectors: DataFrame, least: float = 0.95, passes: int = PASSES, window: int = WINDOW, bits: int = BITS, block: int = BLOCK, seed: int = SEED, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row.
 
-    ``passes`` should grow with log(rows / window): at cosine 0.95 a sign agrees
-    with probability 0.90, and a pass finds a pair whose keys agree in the first
-    log2(rows / window) signs at least.
+    ``passes`` are made in a round: at cosine 0.95 a sign agrees with probability
+    0.90, and a pass finds a pair whose keys agree in the first log2(rows / window)
+    signs at least; the rounds grow with what the orders still separate.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -197,12 +244,22 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, passes: int = PASSES,
     reps = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
     reps = saved(reps)
 
-    few = reps.select("rep", "vec").mapInArrow(_keys(passes, bits, seed), "rep long, vec array<double>, keys array<long>")
-    spread = few.select(F.posexplode("keys").alias("pass", "key"), "rep", F.size("vec").alias("dim"), "vec")
+    total = reps.count()
     n = max(passes, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    sorted_rows = spread.repartitionByRange(n, "pass", "dim", "key").sortWithinPartitions("pass", "dim", "key", "rep")
-    links = sorted_rows.select("pass", "key", "rep", "vec").mapInArrow(_window_links(window, least), "src long, dst long")
-    comp = saved(connected_components(links)).select(F.col("id").alias("rep"), "component")
+    comp, joined, turn = None, 0, 0
+    while True:
+        own = seed + turn  # the first round has the given seed
+        cuts = _cuts(reps, total, n, passes, bits, own, window)
+        spread = reps.select("rep", "vec").mapInArrow(_keys(passes, bits, own, cuts), "pass int, dim int, part int, key long, rep long, vec array<double>")
+        sorted_rows = spread.repartition(n, "pass", "dim", "part").sortWithinPartitions("pass", "dim", "part", "key", "rep")
+        links = sorted_rows.select("pass", "part", "rep", "vec").mapInArrow(_window_links(window, least), "src long, dst long")
+        if comp is not None:
+            links = links.unionAll(comp.select(F.col("rep").alias("src"), F.col("component").alias("dst")))
+        comp = saved(connected_components(links)).select(F.col("id").alias("rep"), "component")
+        sizes = comp.agg(F.count("*").alias("n"), F.count_distinct("component").alias("c")).first()
+        before, joined, turn = joined, sizes["n"] - sizes["c"], turn + 1
+        if joined == before:
+            break
 
     size = comp.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nb"))
     member = comp.join(size, "component").join(reps.select("rep", "copies", "vec"), "rep")

@@ -116,3 +116,19 @@ def test_vectors(spark, monkeypatch):
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(df, block=block).collect()}
         assert got == want
     assert near_vectors(df.limit(0)).count() == 0
+
+
+def test_windows_reach_over_parts(spark):
+    """One pass whose window holds all rows finds all links, whatever the number of partitions."""
+    rnd = np.random.default_rng(8)
+    base = rnd.standard_normal((150, 16))
+    both = np.concatenate([base, base + 0.18 * rnd.standard_normal(base.shape)])
+    unit = both / np.linalg.norm(both, axis=1, keepdims=True)
+    want = {i: int(n) - 1 for i, n in enumerate((unit @ unit.T >= 0.95).sum(axis=1))}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        got = {r.vec_id: r.n_links for r in near_vectors(df, passes=1).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == want and sum(want.values()) > 200
