@@ -4,16 +4,18 @@ Encoding follows the formal view of BPE as a string transduction with bounded
 lookahead (Berglund and van der Merwe, "Formalizing BPE Tokenization").  For
 every prefix of a pre-token there is one last token of the prefix's encoding;
 two neighbouring tokens stand side by side exactly if encoding their joined
-symbols gives the two back.  So one pass keeps, for the last ``longest`` symbols
-only, the last token of each prefix; tokens are emitted as soon as all prefixes
-that a longer input could build on share them.  ``lookahead`` is the number of
-symbols after which that is certain, computed from the merge list.
+symbols gives the two back.  So one pass keeps the last token of each prefix of a
+bounded window; ``lookahead``, computed from the merge list, is the number of
+symbols after which a token can't change any more, and then it is emitted.
+Distinct chunks of texts are encoded once and kept, by their bytes, in a table
+that is emptied when it is full.
 
-Decoding is a state machine over ids: token strings joined as the library does,
-or, byte by byte, an incremental UTF-8 decoder.
+Decoding is a state machine that the ids of each document are fed to: token
+strings joined as the library does, or, byte by byte, an incremental UTF-8 decoder.
 
 Defined results: a null or empty text has no ids and decodes to the empty string;
-special tokens' strings in a text become their ids, as in the library.
+special tokens' strings in a text become their ids, as in the library; repeated rows
+are encoded each; null ids are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import codecs
 import json
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +31,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.chunkenc import LOWER, cuts_dropping_space
-from kinfold.llm.textbuf import PrefixHash, blocks, text_column
+from kinfold.llm.chunkenc import TABLE_BYTES, Chunked
+from kinfold.llm.textbuf import give_back, text_column
 
 END = "</w>"
-TABLE_CHUNKS = 1_500_000
-PAIRS = 1_000_000
-BLOCK = 2 << 20
+#: Pairs of tokens that are remembered, and whole tokens.
+PAIRS = 200_000
 
 
 def byte_alphabet() -> list[str]:
@@ -82,23 +84,25 @@ class Transducer:
         self.longest = max(map(len, self.tokens))
         self.lookahead = self._lookahead()
         self.pairs: dict[str, bool] = {}
-        self.table = {ord(c): p for c, p in zip(map(chr, range(256)), self.plain)}
+        self.wholes: dict[str, bool] = {}  # a vocabulary at most
 
     def _lookahead(self) -> int:
-        """Symbols after a token that can still change it.
-
-        A merge (u, v) can be pre-empted by an earlier rule (v, w), that one by a
-        still earlier (w, x), and so on; the longest such chain, in symbols, bounds
-        how far to the right a decision can depend on the input.
+        """The most symbols, back from the end of an input, whose tokens more input can change.
+
+        What is added can only change tokens from some place on.  A rule (u, v)
+        moves that place back over u if v stands there in one of the two encodings
+        only; v then begins with the left side of the earlier rule that moved the
+        place to where it is.  So the longest chain of rules of ascending rank, each
+        one's right side beginning with the left side of the one before, bounds the
+        distance; one pass over the merge list finds it.
         """
         reach: dict[str, int] = {}
         most = 1
-        for a, b in self.rank:  # in rank order
-            n = len(b) + reach.get(b, 0)
-            if n > reach.get(a, 0):
-                reach[a] = n
+        for u, v in self.rank:  # in rank order
+            n = len(u) + max([len(v), *(reach.get(v[:k], 0) for k in range(1, len(v) + 1))])
+            reach[u] = max(n, reach.get(u, 0))
             most = max(most, n)
-        return most + self.longest
+        return most
 
     def merge(self, text: str) -> list[str]:
         """Direct application of the merge list to a short string of symbols."""
@@ -131,83 +135,69 @@ class Transducer:
         return known
 
     def stream(self, symbols):
-        """Yield tokens of one pre-token while its symbols arrive; memory is bounded by the lookahead."""
-        tokens, longest = self.tokens, self.longest
-        window = ""  # symbols of the positions kept
-        base = 0  # position of window[0]
-        last: list[str | None] = [""]  # last token of each prefix ending in the window, "" at the start
-        emitted = 0  # position up to which tokens were emitted
-        n = 0
+        """Yield tokens of one pre-token while its symbols arrive.
+
+        A token is emitted once it ends ``lookahead`` symbols back, so at most three
+        times that many symbols are held, however long the pre-token is.
+        """
+        tokens, longest, ahead = self.tokens, self.longest, self.lookahead
+        window = ""  # symbols after those emitted
+        last: list[str] = [""]  # last token of the encoding of each prefix of the window
         for c in symbols:
             window += c
-            n += 1
-            got = None
-            for size in range(min(longest, n - emitted), 0, -1):
-                t = window[n - size - base :]
-                if t in tokens and (size == 1 or self._whole(t)):
-                    before = last[n - size - base]
-                    if before == "" or (before is not None and self.fits(before, t)):
-                        got = t
-                        break
-            if got is None:
+            n = len(window)
+            for size in range(min(longest, n), 0, -1):
+                t = window[n - size :]
+                if t in tokens and (size == 1 or self._whole(t)) and (n == size or self.fits(last[n - size], t)):
+                    last.append(t)
+                    break
+            else:
                 raise ValueError("a symbol has no token")
-            last.append(got)
-            if n - emitted > longest and (n - emitted) % longest == 0:
-                # the path of the last `longest` prefixes: emit what all of them share
-                paths = []
-                for end in range(max(emitted, n - longest + 1), n + 1):
-                    cuts, at = [], end
-                    while at > emitted:
-                        cuts.append(at)
-                        at -= len(last[at - base])
-                    paths.append(cuts[::-1])
-                k = 0
-                while all(len(p) > k for p in paths) and len({p[k] for p in paths}) == 1:
-                    yield last[paths[0][k] - base]
-                    emitted = paths[0][k]
-                    k += 1
-                if k and emitted > base:
-                    keep = emitted
-                    head = last[keep - base]
-                    window, last, base = window[keep - base :], [head, *last[keep - base + 1 :]], keep
-        out, at = [], n
-        while at > emitted:
-            out.append(last[at - base])
-            at -= len(out[-1])
-        yield from reversed(out)
+            if n >= 2 * ahead + longest:
+                stable = [t for t in self._path(last) if t[0] <= n - ahead]
+                for _, t in stable:
+                    yield t
+                if stable:
+                    done = stable[-1][0]
+                    window, last = window[done:], ["", *last[done + 1 :]]
+        for _, t in self._path(last):
+            yield t
+
+    @staticmethod
+    def _path(last: list[str]) -> list[tuple[int, str]]:
+        """(end, token) of the encoding of the whole window."""
+        out, at = [], len(last) - 1
+        while at > 0:
+            out.append((at, last[at]))
+            at -= len(last[at])
+        return out[::-1]
 
     def _whole(self, token: str) -> bool:
-        key = token
-        known = self.pairs.get(key)
+        known = self.wholes.get(token)
         if known is None:
-            known = self.pairs[key] = self.merge(token) == [token]
+            known = self.wholes[token] = self.merge(token) == [token]
         return known
 
-    def encode(self, data: bytes) -> list[int]:
-        """Ids of one pre-token's bytes."""
-        if not data:
-            return []
-        text = data[:-1].decode("latin-1").translate(self.table) + self.last[data[-1]]
-        return [self.tokens[t] for t in self.stream(text)]
+    def encode(self, data: bytes):
+        """Yield the ids of one pre-token's bytes."""
+        if data:
+            symbols = chain(map(self.plain.__getitem__, data[:-1]), (self.last[data[-1]],))
+            yield from map(self.tokens.__getitem__, self.stream(symbols))
 
 
-class WordBpe:
+class WordBpe(Chunked):
     """The whole tokenizer of a word-BPE file: special tokens, normaliser, pre-tokens, transducer."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = TABLE_BYTES):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.transducer = Transducer(spec["model"])
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.marks = {t["content"]: t["id"] for t in spec["added_tokens"]}
         steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
         self.pattern = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
-        self.split = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
-        self.names = {i: t for t, i in spec["model"]["vocab"].items()} | {i: t for t, i in self.special.items()}
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.rows: list[tuple[int, bytes, bytes]] = []
+        self.split = regex.compile("(" + "|".join(regex.escape(s) for s in self.marks) + ")") if self.marks else None
+        self.names = {i: t for t, i in spec["model"]["vocab"].items()} | {i: t for t, i in self.marks.items()}
+        super().__init__(False, [s.lower().encode() for s in self.marks], limit)
 
     def normal(self, text: str) -> str:
         """NFC, then each character in lower case by itself (no final-sigma rule)."""
@@ -215,85 +205,65 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower()
 
-    def ids(self, text: str) -> list[int]:
-        out: list[int] = []
-        parts = self.split.split(text) if self.split else [text]
-        for part in parts:
-            if part in self.special:
-                out.append(self.special[part])
+    def ids(self, text: str):
+        """Yield the ids of a text as they become certain."""
+        for part in self.split.split(text) if self.split else [text]:
+            if part in self.marks:
+                yield self.marks[part]
                 continue
-            for word in self.pattern.findall(self.normal(part)):
-                out += self.transducer.encode(word.encode())
-        return out
-
-    def row(self, chunk: bytes) -> tuple[int, bytes, bytes]:
-        """(number of ids, their decimal text, their decoded text) of a chunk."""
-        ids = self.ids(chunk.decode("utf-8", "replace"))
-        return len(ids), " ".join(map(str, ids)).encode(), " ".join(map(self.names.__getitem__, ids)).encode()
-
-    def encode(self, buf: np.ndarray, offsets: np.ndarray):
-        """Yield (number of ids, ids as text, decoded text) for each document."""
-        marks = [s.lower().encode() for s in self.special]
-        for lo, hi in blocks(offsets, BLOCK):
-            off = offsets[lo : hi + 1] - offsets[lo]
-            part = buf[offsets[lo] : offsets[hi]]
-            low = LOWER[part]
-            start, end = cuts_dropping_space(low, off)
-            keys = PrefixHash(low).slices(start, end)
-            keys ^= (end - start).astype(np.uint64) << np.uint64(48)
-            uniq, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-            if len(self.rows) + len(uniq) > TABLE_CHUNKS:
-                self.clear()
-            raw = low.tobytes()
-            at = np.empty(len(uniq), np.int64)
-            known, rows = self.known, self.rows
-            for j, (k, a) in enumerate(zip(uniq.tolist(), first.tolist())):
-                r = known.get(k)
-                if r is None:
-                    r = known[k] = len(rows)
-                    rows.append(self.row(raw[start[a] : end[a]]))
-                at[j] = r
-            chunk_rows = at[inverse].tolist()
-            before = np.searchsorted(start, off).tolist()
-            special = any(m in raw for m in marks)
-            for i in range(hi - lo):
-                if special:
-                    text = part[off[i] : off[i + 1]].tobytes()
-                    if any(m in text.lower() for m in marks):
-                        yield self.row(text)
-                        continue
-                got = [r for r in map(rows.__getitem__, chunk_rows[before[i] : before[i + 1]]) if r[0]]
-                yield sum(r[0] for r in got), b" ".join([r[1] for r in got]), b" ".join([r[2] for r in got])
+            for word in self.pattern.finditer(self.normal(part)):
+                yield from self.transducer.encode(word[0].encode())
+
+    def encode_new(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        each = [list(self.ids(c.decode("utf-8", "replace"))) for c in chunks]
+        counts = np.array([len(x) for x in each], dtype=np.int64)
+        return np.fromiter(chain.from_iterable(each), np.uint16, int(counts.sum())), counts
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [list(self.ids(t)) for t in texts]
 
 
 class StreamDecoder:
     """Decoder of a stream of ids; feed ids, get text as soon as it is certain.
 
     ``joined`` gives the library's decode() of a file without a decoder: token
-    strings with one space between.  Otherwise the tokens' bytes go through an
-    incremental UTF-8 decoder and an end-of-word suffix becomes a space.
+    strings with one space between; the state is whether one came before.  Otherwise
+    the tokens' bytes go through an incremental UTF-8 decoder, whose state is an
+    unfinished character, and an end-of-word suffix becomes a space.
     """
 
     def __init__(self, names: dict[int, str], suffix: str = END, joined: bool = False):
         self.names, self.suffix, self.joined = names, suffix, joined
         self.byte_of = {c: b for b, c in enumerate(byte_alphabet())}
+        self.clear()
+
+    def clear(self) -> None:
+        """Back to the state before the first id."""
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
-        self.first, self.space = True, False
+        self.lead = ""
 
     def feed(self, i: int) -> str:
-        token = self.names[i]
+        return self.feed_all((i,))
+
+    def feed_all(self, ids) -> str:
+        """The text of further ids."""
         if self.joined:
-            out = token if self.first else " " + token
-            self.first = False
+            if not len(ids):
+                return ""
+            out, self.lead = self.lead + " ".join(map(self.names.__getitem__, ids)), " "
             return out
-        ended = bool(self.suffix) and token.endswith(self.suffix)
-        body = token[: -len(self.suffix)] if ended else token
-        lead, self.space = (b" " if self.space else b""), ended
-        try:
-            data = bytes(self.byte_of[c] for c in body)
-        except KeyError:
-            data = body.encode()
-        return self.utf8.decode(lead + data)
+        out = []
+        for i in ids:
+            token = self.names[i]
+            ended = bool(self.suffix) and token.endswith(self.suffix)
+            body = token[: -len(self.suffix)] if ended else token
+            try:
+                data = bytes(self.byte_of[c] for c in body)
+            except KeyError:
+                data = body.encode()
+            out.append(self.utf8.decode(self.lead.encode() + data))
+            self.lead = " " if ended else ""
+        return "".join(out)
 
     def close(self) -> str:
         return "" if self.joined else self.utf8.decode(b"", True)
@@ -312,24 +282,31 @@ def model(path: str) -> WordBpe:
 ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
 
 
+#: Ids that the decoder is fed at a time, and bytes of a result batch.
+FEED, EMIT = 4096, 4 << 20
+
+
 def _encode_partition(path: str):
     def run(batches):
         bpe = model(path)
+        decimal = [str(i) for i in range(max(bpe.names) + 1)]
+        machine = StreamDecoder(bpe.names, joined=True)
         for batch in batches:
-            docs = batch.column(0).to_pylist()
             buf, off = text_column(batch.column(1))
-            rows, size = [], 0
-            done = 0
-            for row in bpe.encode(buf, off):
-                rows.append(row)
-                size += len(row[1]) + len(row[2])
-                if size > 8 << 20 or done + len(rows) == len(docs):
-                    n, ids, text = zip(*rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(docs[done : done + len(rows)], pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()).cast(pa.string()), pa.array(text, pa.binary()).cast(pa.string())], schema=ENCODED
-                    )
-                    done += len(rows)
-                    rows, size = [], 0
+            for lo, ids, ends in bpe.encode(buf, off):
+                counts = np.diff(ends)
+                first, numbers, texts, size = 0, [], [], 0
+                for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+                    machine.clear()
+                    parts = [ids[at : min(at + FEED, b)].tolist() for at in range(a, b, FEED)]
+                    texts.append("".join(map(machine.feed_all, parts)) + machine.close())
+                    numbers.append(" ".join(" ".join(map(decimal.__getitem__, p)) for p in parts))
+                    size += len(texts[-1]) + len(numbers[-1])
+                    if size > EMIT or k == len(counts) - 1:
+                        n = k + 1 - first
+                        yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo + first, n), pa.array(counts[first : k + 1]), pa.array(numbers), pa.array(texts)], schema=ENCODED)
+                        first, numbers, texts, size = k + 1, [], [], 0
+        give_back()
 
     return run
 

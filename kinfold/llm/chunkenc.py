@@ -3,7 +3,7 @@
 A BPE tokenizer never merges across the borders of its pre-tokens.  Texts are
 therefore cut, by vectorised byte tests, at places where the pre-tokenizer is
 certain to cut as well; each distinct chunk is encoded once by the library and
-kept in a bounded table, and documents are assembled by gathering.  Documents
+kept, by its bytes, in a bounded table, and documents are assembled by gathering.  Documents
 holding a special token's string are encoded whole, by the library.
 """
 
@@ -14,10 +14,11 @@ from itertools import chain
 
 import numpy as np
 
-from kinfold.llm.textbuf import PrefixHash, blocks, expand
+from kinfold.llm.textbuf import SHORT, Words, blocks, expand
 
-BLOCK = 2 << 20
-TABLE_CHUNKS = 2_500_000
+BLOCK = 512 << 10
+#: Bytes that the table may hold before it is emptied.
+TABLE_BYTES = 48 << 20
 
 _SPACE, _LETTER, _PUNCT, _MAYBE, _DIGIT, _HIGH = 0, 1, 2, 3, 4, 5
 
@@ -82,30 +83,62 @@ def cuts_dropping_space(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
     return start, stop
 
 
+class Numbers(dict):
+    """Numbers of distinct byte strings, in the order of their first look-up; ``size`` is about the bytes it takes."""
+
+    def __init__(self):
+        super().__init__()
+        self.size = 0
+
+    def __missing__(self, word: bytes) -> int:
+        self.size += len(word) + 150
+        n = self[word] = len(self)
+        return n
+
+
+def exact_keys(buf: np.ndarray, start: np.ndarray, end: np.ndarray, numbers: Numbers) -> np.ndarray:
+    """One key for each distinct slice: its bytes up to seven, its number in ``numbers`` beyond."""
+    size = end - start
+    out = Words(buf).exact(start, size)
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        raw = buf.tobytes()
+        found = map(numbers.__getitem__, [raw[a:b] for a, b in zip(start[long].tolist(), end[long].tolist())])
+        out[long] = np.fromiter(found, np.uint64, len(long)) | np.uint64(255 << 56)
+    return out
+
+
 class ChunkTable:
-    """Distinct chunks by fingerprint, with a payload slice of ids each; emptied when full."""
+    """Distinct chunks by exact key, with a payload slice of ids each; to be emptied when ``full``.
 
-    def __init__(self, limit: int = TABLE_CHUNKS):
+    Keys stand in sorted runs, each at least twice as long as the next.
+    """
+
+    def __init__(self, limit: int = TABLE_BYTES):
         self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.rows = np.zeros(0, np.int64)
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+        self.numbers = Numbers()
         self.ids = np.zeros(0, np.uint16)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int32)
-        self.recent: list = []
 
     def __len__(self) -> int:
         return len(self.start)
 
+    def full(self) -> bool:
+        return 28 * len(self.start) + 2 * len(self.ids) + self.numbers.size > self.limit
+
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """Rows of sorted keys, -1 where unknown."""
-        if not len(self.keys):
-            return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.rows[at], -1)
+        """Rows of keys, -1 where unknown."""
+        out = np.full(len(keys), -1, np.int64)
+        for have, rows in self.runs:
+            at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+            hit = have[at] == keys
+            out[hit] = rows[at[hit]]
+        return out
 
     def add(self, keys: np.ndarray, ids: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Rows of new sorted keys."""
@@ -114,40 +147,111 @@ class ChunkTable:
         self.ids = np.concatenate([self.ids, ids])
         self.start = np.concatenate([self.start, first + np.cumsum(length, dtype=np.int64) - length])
         self.length = np.concatenate([self.length, length.astype(np.int32)])
-        at = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, at, keys)
-        self.rows = np.insert(self.rows, at, rows)
+        self.runs.append((keys, rows))
+        while len(self.runs) > 1 and 2 * len(self.runs[-1][0]) > len(self.runs[-2][0]):
+            (a, x), (b, y) = self.runs.pop(-2), self.runs.pop()
+            both = np.concatenate([a, b])
+            order = np.argsort(both, kind="stable")
+            self.runs.append((both[order], np.concatenate([x, y])[order]))
         return rows
 
 
-class ChunkEncoder:
+class Chunked:
+    """Encoding of whole texts through a table of distinct chunks.
+
+    ``lossless`` tells whether pre-tokens keep white space; ``special`` are the
+    strings whose documents ``whole`` encodes.  The table is bounded by ``limit``
+    bytes and a block, and belongs to the process, so tasks of one worker share it.
+    """
+
+    def __init__(self, lossless: bool, special: list[bytes], limit: int = TABLE_BYTES):
+        self.lossless, self.special, self.table = lossless, special, ChunkTable(limit)
+
+    def encode_new(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of distinct chunks."""
+        raise NotImplementedError
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts that may hold special tokens."""
+        raise NotImplementedError
+
+    def rows(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Table rows of the chunks of one block, and the number of chunks before each document."""
+        if not self.lossless:
+            buf = LOWER[buf]
+        start, end = (cuts_keeping_space if self.lossless else cuts_dropping_space)(buf, offsets)
+        before = np.searchsorted(start, offsets)
+        if self.table.full():
+            self.table.clear()
+        keys = exact_keys(buf, start, end, self.table.numbers)
+        uniq, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        rows = self.table.find(uniq)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            raw = buf.tobytes()
+            at = first[new]
+            ids, counts = self.encode_new([raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
+            rows[new] = self.table.add(uniq[new], ids, counts)
+        return rows[inverse], before
+
+    def _specials(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Documents that hold the string of a special token, in any case."""
+        raw = LOWER[buf].tobytes()
+        found = set()
+        for s in self.special:
+            at = raw.find(s)
+            while at >= 0:
+                found.add(int(np.searchsorted(offsets, at, side="right")) - 1)
+                at = raw.find(s, at + 1)
+        return np.array(sorted(found), dtype=np.int64)
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray):
+        """Yield (first document, ids, offsets of ids) for consecutive blocks of documents."""
+        for lo, hi in blocks(offsets, BLOCK):
+            off = offsets[lo : hi + 1] - offsets[lo]
+            part = buf[offsets[lo] : offsets[hi]]
+            rows, before = self.rows(part, off)
+            length = self.table.length[rows]
+            ids = self.table.ids[expand(self.table.start[rows], length)]
+            ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])[before]
+            whole = self._specials(part, off)
+            if len(whole):
+                each = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+                texts = [part[off[i] : off[i + 1]].tobytes().decode("utf-8", "replace") for i in whole]
+                for i, x in zip(whole, self.whole(texts)):
+                    each[i] = np.array(x, dtype=np.uint16)
+                ids = np.concatenate(each)
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in each], dtype=np.int64)])
+            yield lo, ids, ends
+
+
+class ChunkEncoder(Chunked):
     """Ids of whole texts as ``tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    ``lossless`` tells whether pre-tokens keep white space.  The table is bounded
-    by ``limit`` chunks and belongs to the process, so tasks of one worker share it.
+    A file's pre-tokens keep white space if it splits by the byte-level pattern.
     """
 
-    def __init__(self, path: str, limit: int = TABLE_CHUNKS):
+    def __init__(self, path: str, limit: int = TABLE_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.lossless = "use_regex\":true" in self.tokenizer.to_str().replace(" ", "")
         added = self.tokenizer.get_added_tokens_decoder()
-        self.special = [t.content.encode() for t in added.values()]
-        self.table = ChunkTable(limit)
+        super().__init__("use_regex\":true" in self.tokenizer.to_str().replace(" ", ""), [t.content.encode() for t in added.values()], limit)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        if size > 1 << 16:
+            raise ValueError("a vocabulary of more than 65,536 ids")
         self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.feed = self.tokenizer.token_to_id("Ċ") if self.lossless else None
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
+    def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and counts of chunks that are one pre-token each, by one library call; None if they are not."""
-        e = self._library([("\n" if self.lossless else " ").join(chunks)])[0]
+        e = self.whole([("\n" if self.lossless else " ").join(chunks)])[0]
         ids = np.fromiter(e, np.uint16, len(e))
         if self.lossless:
             at = np.flatnonzero(ids == self.feed)
@@ -157,7 +261,7 @@ class ChunkEncoder:
         at = np.flatnonzero(self.ends_word[ids])
         return (ids, np.diff(np.concatenate([[-1], at]))) if len(at) == len(chunks) else None
 
-    def _encode_new(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_new(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and counts of distinct chunks; plain ASCII ones share library calls."""
         texts = [x.decode("utf-8", "replace") for x in chunks]
         if self.lossless:
@@ -167,7 +271,7 @@ class ChunkEncoder:
         ids, counts, order = [], [], []
 
         def singly(part):
-            got = self._library([texts[i] for i in part])
+            got = self.whole([texts[i] for i in part])
             each = np.array([len(x) for x in got], dtype=np.int64)
             ids.append(np.fromiter(chain.from_iterable(got), np.uint16, int(each.sum())))
             counts.append(each)
@@ -190,61 +294,11 @@ class ChunkEncoder:
         start = np.cumsum(each) - each
         return flat[expand(start[back], each[back])], each[back]
 
-    def rows(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Table rows of the chunks of one block, and the number of chunks before each document."""
-        if not self.lossless:
-            buf = LOWER[buf]
-        start, end = (cuts_keeping_space if self.lossless else cuts_dropping_space)(buf, offsets)
-        before = np.searchsorted(start, offsets)
-        keys = PrefixHash(buf).slices(start, end)
-        keys ^= (end - start).astype(np.uint64) << np.uint64(48)
-        uniq, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.table) + len(uniq) > self.table.limit:
-            self.table.clear()
-        rows = self.table.find(uniq)
-        new = np.flatnonzero(rows < 0)
-        if len(new):
-            raw = buf.tobytes()
-            at = first[new]
-            ids, counts = self._encode_new([raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
-            rows[new] = self.table.add(uniq[new], ids, counts)
-        return rows[inverse], before
-
-    def _whole(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Documents that hold the string of a special token, in any case."""
-        raw = LOWER[buf].tobytes()
-        found = set()
-        for s in self.special:
-            at = raw.find(s)
-            while at >= 0:
-                found.add(int(np.searchsorted(offsets, at, side="right")) - 1)
-                at = raw.find(s, at + 1)
-        return np.array(sorted(found), dtype=np.int64)
-
-    def encode(self, buf: np.ndarray, offsets: np.ndarray):
-        """Yield (first document, ids, offsets of ids) for consecutive blocks of documents."""
-        for lo, hi in blocks(offsets, BLOCK):
-            off = offsets[lo : hi + 1] - offsets[lo]
-            part = buf[offsets[lo] : offsets[hi]]
-            rows, before = self.rows(part, off)
-            length = self.table.length[rows]
-            ids = self.table.ids[expand(self.table.start[rows], length)]
-            ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])[before]
-            whole = self._whole(part, off)
-            if len(whole):
-                each = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
-                texts = [part[off[i] : off[i + 1]].tobytes().decode("utf-8", "replace") for i in whole]
-                for i, x in zip(whole, self._library(texts)):
-                    each[i] = np.array(x, dtype=np.uint16)
-                ids = np.concatenate(each)
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in each], dtype=np.int64)])
-            yield lo, ids, ends
-
 
 _ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def encoder(path: str, limit: int = TABLE_CHUNKS) -> ChunkEncoder:
+def encoder(path: str, limit: int = TABLE_BYTES) -> ChunkEncoder:
     """This process's encoder for a tokenizer file."""
     if (path, limit) not in _ENCODERS:
         _ENCODERS[path, limit] = ChunkEncoder(path, limit)

@@ -1,7 +1,9 @@
 """Fetching the rows of few ids from a wide table without moving the others.
 
-A bitmap of hashed ids (``BITS`` bits, whatever the table's size) goes to every
-task; rows whose bit is unset stay where they are, the rest is joined exactly.
+A bitmap of hashed ids goes to every task; rows whose bit is unset stay where they
+are, the rest is joined exactly.  The bitmap has 16 bits for each id, up to
+``MOST``; beyond that more rows pass it and are moved by the join, with equal results.
+Bitmaps are built by Spark's own aggregates, united before they reach the driver.
 """
 
 from __future__ import annotations
@@ -9,70 +11,62 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.textbuf import mix64
+#: Bits of a bitmap: at least, and at most (a memory of 16 MB for each worker).
+LEAST, MOST = 20, 27
 
-BITS = 1 << 22
-CHUNK = 1 << 15  # bits of one piece of the bitmap
 
+class Bits:
+    """A bitmap of 2^width cells."""
 
-def _cells(ids: np.ndarray) -> np.ndarray:
-    return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(42)).astype(np.int64)
+    def __init__(self, packed: bytes, width: int):
+        self.packed, self.width = packed, width
+        self.raw = np.frombuffer(zlib.decompress(packed), np.uint8)
 
+    def __reduce__(self):
+        return Bits, (self.packed, self.width)
 
-def bitmap(ids: DataFrame, id_col: str = "id") -> bytes:
-    """The bitmap of a table of ids; pieces are united by key before they reach the driver."""
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Whether the cells of keys (uint64, well mixed) are set; of a key its upper bits count."""
+        cell = (keys >> np.uint64(64 - self.width)).astype(np.int64)
+        return (self.raw[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
 
-    def part(batches):
-        seen = np.zeros(BITS, bool)
-        for batch in batches:
-            seen[_cells(batch.column(0).drop_null().to_numpy(zero_copy_only=False))] = True
-        rows = [(i, zlib.compress(np.packbits(x).tobytes(), 1)) for i, x in enumerate(seen.reshape(-1, CHUNK)) if x.any()]
-        if rows:
-            n, bits = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(bits, pa.binary())], names=["piece", "bits"])
-
-    def unite(pdf):
-        both = np.zeros(CHUNK // 8, np.uint8)
-        for b in pdf["bits"]:
-            both |= np.frombuffer(zlib.decompress(b), np.uint8)
-        return pd.DataFrame({"piece": pdf["piece"].iloc[:1], "bits": [zlib.compress(both.tobytes(), 1)]})
-
-    pieces = ids.select(F.col(id_col).cast("long")).mapInArrow(part, "piece int, bits binary")
-    out = np.zeros((BITS // CHUNK, CHUNK // 8), np.uint8)
-    for r in pieces.groupBy("piece").applyInPandas(unite, "piece int, bits binary").collect():
-        out[r["piece"]] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-    return zlib.compress(out.tobytes(), 1)
-
-
-def maybe(rows: DataFrame, bits: bytes, id_col: str, inside: bool = True) -> DataFrame:
+
+def width_for(n: int) -> int:
+    return min(max(16 * n, 1).bit_length(), MOST) if 16 * n > 1 << LEAST else LEAST
+
+
+def bits_of(rows: DataFrame, key: Column, width: int) -> Bits:
+    """The bitmap of the upper bits of a column of 64-bit keys."""
+    cell = F.shiftrightunsigned(key, 64 - width) + 1
+    pieces = rows.select(cell.alias("c")).where("c is not null").groupBy(F.bitmap_bucket_number("c").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("c")).alias("bits"))
+    size = 1 << 12  # bytes of a piece
+    out = np.zeros(max(1 << (width - 3), size), np.uint8)
+    for r in pieces.collect():
+        out[(r["piece"] - 1) * size : r["piece"] * size] = np.frombuffer(r["bits"], np.uint8)
+    return Bits(zlib.compress(out.tobytes(), 1), width)
+
+
+def bitmap(ids: DataFrame, id_col: str = "id") -> Bits:
+    """The bitmap of a table of ids, sized by their count."""
+    return bits_of(ids, F.xxhash64(F.col(id_col).cast("long")), width_for(ids.count()))
+
+
+def maybe(rows: DataFrame, bits: Bits, id_col: str, inside: bool = True) -> DataFrame:
     """Rows whose id may be in the bitmap, or those whose id certainly isn't; no shuffle."""
-    at = rows.columns.index(id_col)
+    names = rows.columns
 
     def run(batches):
-        seen = np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8)).view(bool)
         for batch in batches:
-            ids = batch.column(at)
-            hit = seen[_cells(ids.fill_null(0).to_numpy(zero_copy_only=False))] & ~ids.is_null().to_numpy(zero_copy_only=False)
-            kept = batch.filter(pa.array(hit if inside else ~hit))
+            cells = batch.column(len(names))
+            hit = bits.has(cells.to_numpy(zero_copy_only=False).view(np.uint64)) & batch.column(len(names) + 1).to_numpy(zero_copy_only=False)
+            kept = batch.select(range(len(names))).filter(pa.array(hit if inside else ~hit))
             if kept.num_rows:
                 yield kept
 
-    return rows.mapInArrow(run, rows.schema)
-
-
-def rows_of(rows: DataFrame, ids: DataFrame, id_col: str, ids_col: str = "id") -> DataFrame:
-    """The rows whose id is in ``ids``; only rows that pass the bitmap are moved."""
-    found = ids.select(F.col(ids_col).cast("long").alias(id_col)).distinct()
-    return maybe(rows, bitmap(ids, ids_col), id_col).join(found, id_col, "left_semi")
-
-
-def rows_without(rows: DataFrame, ids: DataFrame, id_col: str, ids_col: str = "id") -> DataFrame:
-    """The rows whose id is not in ``ids`` (null ids stay); only rows that pass the bitmap are moved."""
-    found = ids.select(F.col(ids_col).cast("long").alias(id_col)).distinct()
-    bits = bitmap(ids, ids_col)
-    return maybe(rows, bits, id_col, inside=False).unionByName(maybe(rows, bits, id_col).join(found, id_col, "left_anti"))
+    i = F.col(f"`{id_col}`").cast("long")
+    marked = rows.select(*(F.col(f"`{c}`") for c in names), F.xxhash64(i).alias("__cell"), i.isNotNull().alias("__known"))
+    return marked.mapInArrow(run, rows.schema)

@@ -1,8 +1,8 @@
 """Near-duplicate documents by SuperMinHash (operator 1).
 
-1. Each document's set of distinct word shingles gives a size, a fingerprint, a
-   SuperMinHash signature and band keys; no text moves.
-2. Documents of equal sets are folded into the one of smallest id.
+1. Each document's set of distinct word shingles gives a size, a fingerprint of
+   128 bits, a SuperMinHash signature and band keys; no text moves.
+2. Documents of equal sets are folded into one, which gets a number of its own.
 3. Within each band bucket one member, drawn by hash, is the pivot; every other
    member keeps its most similar pivot (by signature) and the pair is confirmed
    on full sets.  That unites large groups with one pair per document.
@@ -10,16 +10,19 @@
    signatures first, then full sets of members with a similar one in another
    component.  No pair is emitted but the links found, and no bucket is capped:
    large ones are spread over pairs of blocks.
-5. Links are united into components.
+5. Links are united into components, named by their smallest doc_id.
 
 Signatures only choose what is compared; links are decided on full sets.  A pair
 at the threshold escapes all ``bands`` buckets with probability
-(1 - t^rows)^bands, 3e-6 at t = 0.8.
+(1 - t^rows)^bands, 3e-6 at t = 0.8; its signature falls short of the threshold by
+``MARGIN``, four standard errors of 160 slots, with probability 6e-5 (fewer for
+SuperMinHash, whose variance is lower).
 
 Defined results: a null or empty text, or one without words, has an empty set and
 links with nothing; a text of fewer than k words is one shingle; a null id is
-its own component and kept; repeated ids are each a row of the result; an empty
-table gives no rows.
+its own component and kept; repeated ids are each a row of the result, linked by
+the text of that row; an empty table gives no rows; other columns are ignored, or
+kept as they are by ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -29,19 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.idfilter import rows_of, rows_without
-from kinfold.llm.shared import saved
+from kinfold.llm.idfilter import bitmap, maybe
+from kinfold.llm.shared import discard, saved
 from kinfold.llm.superminhash import band_keys, shingle_sets, signatures
-from kinfold.llm.textbuf import blocks, mix64, text_column
+from kinfold.llm.textbuf import blocks, give_back, mix64, text_column
 from kinfold.operators.components import connected_components
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 32, 5
 MARGIN = 0.12  # signature estimates below the threshold by more are not confirmed: four standard errors
-BLOCK = 2 << 20
-BUCKET = 2048
+BLOCK = 256 << 10
+#: Members of a cell of step 4, and the shingles that they hold together.
+BUCKET, SHINGLES = 2048, 1 << 20
 
-SKETCH = "doc_id long, n long, fp1 long, fp2 long, keys array<long>, sig binary"
+SKETCH = "doc_id long, mark long, n long, fp1 long, fp2 long, keys array<long>, sig binary"
 
 
 def _sketch(k: int, bands: int, rows: int):
@@ -49,7 +53,7 @@ def _sketch(k: int, bands: int, rows: int):
 
     def run(batches):
         for batch in batches:
-            buf, off = text_column(batch.column(1))
+            buf, off = text_column(batch.column(2))
             for lo, hi in blocks(off, BLOCK):
                 h, first = shingle_sets(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], k)
                 sig = signatures(h, first, m)
@@ -61,14 +65,16 @@ def _sketch(k: int, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, n),
+                        batch.column(1).slice(lo, n),
                         pa.array(np.diff(first)),
                         pa.array(fps[0]),
                         pa.array(fps[1]),
                         pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands, dtype=np.int32)), pa.array(keys.ravel())),
                         pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, n * m + 1, m, dtype=np.int32)), pa.py_buffer(low)]),
                     ],
-                    names=["doc_id", "n", "fp1", "fp2", "keys", "sig"],
+                    names=["doc_id", "mark", "n", "fp1", "fp2", "keys", "sig"],
                 )
+        give_back()
 
     return run
 
@@ -121,16 +127,22 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _runs(batches, keys: int):
-    """Rows grouped by their first columns, for sorted batches; each as a list of tuples."""
+def _runs(batches, keys: int, change=None):
+    """Rows grouped by their first columns, for sorted batches; each as a list of tuples.
+
+    ``change`` makes something smaller of the last column of some rows at a time.
+    """
     key, held = None, []
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-            if row[:keys] != key:
-                if held:
-                    yield key, held
-                key, held = row[:keys], []
-            held.append(row[keys:])
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            cols = [part.column(i).to_pylist() if change is None or i < part.num_columns - 1 else change(part.column(i)) for i in range(part.num_columns)]
+            for row in zip(*cols):
+                if row[:keys] != key:
+                    if held:
+                        yield key, held
+                    key, held = row[:keys], []
+                held.append(row[keys:])
     if held:
         yield key, held
 
@@ -172,8 +184,8 @@ def _cell_links(k: int, percent: int, m: int, least: float):
 
     def run(batches):
         out: list[tuple] = []
-        for _, rows in _runs(batches, 3):
-            sets = _sets(pa.array([r[4] for r in rows], pa.string()), k)
+        for _, rows in _runs(batches, 3, lambda texts: _sets(texts, k)):
+            sets = [r[4] for r in rows]
             sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), m)
             up: dict[int, int] = {}
 
@@ -203,18 +215,35 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
 
     Documents are linked if 100 * intersection >= percent * union of their sets.
     """
+    return _judged(docs, k, percent, bands, rows, id_col, text_col).drop("mark")
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, mark, text): the mark tells rows of one id apart by their texts."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+
+
+def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, text) of rows (rep, doc_id, mark); only rows that pass a bitmap of ids are moved."""
+    found = maybe(texts, bitmap(wanted, "doc_id"), "doc_id").join(wanted, ["doc_id", "mark"]).select("rep", "text")
+    return found.dropDuplicates(["rep"])
+
+
+def _judged(docs: DataFrame, k: int, percent: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     m, least = bands * rows, percent / 100 - MARGIN
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = _marked(docs, id_col, text_col)
     sketch = saved(texts.mapInArrow(_sketch(k, bands, rows), SKETCH))
 
-    folded = sketch.where("n > 0 and doc_id is not null").groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
-    reps = folded.select("rep").join(sketch.select(F.col("doc_id").alias("rep"), "keys", "sig"), "rep")
-    reps = saved(reps.dropDuplicates(["rep"]))
+    some = sketch.where("n > 0 and doc_id is not null")
+    lowest = F.min(F.struct("doc_id", "mark"))
+    folded = some.groupBy("n", "fp1", "fp2").agg(lowest.alias("low"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
+    reps = saved(folded.select(F.monotonically_increasing_id().alias("rep"), "n", "fp1", "fp2", F.col("low.doc_id").alias("doc_id"), F.col("low.mark").alias("mark"), "keys", "sig"))
 
-    spread = reps.select("rep", F.explode("keys").alias("key"))
+    spread = reps.select("rep", "n", F.explode("keys").alias("key"))
     draw = F.struct(F.xxhash64("rep", "key").alias("h"), F.col("rep"))
-    stats = spread.groupBy("key").agg(F.count("*").alias("size"), F.min(draw)["rep"].alias("pivot")).where("size > 1")
-    members = saved(spread.join(stats, "key").select("key", "rep", "pivot", "size"))
+    stats = spread.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("all"), F.min(draw)["rep"].alias("pivot")).where("size > 1")
+    members = saved(spread.join(stats, "key").select("key", "rep", "pivot", "size", "all"))
 
     signs = reps.select("rep", "sig")
     pairs = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -222,16 +251,20 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
     pairs = pairs.mapInArrow(_alike(m, least), "a long, b long, est double")
     pairs = saved(pairs.groupBy("a").agg(F.max(F.struct("est", "b"))["b"].alias("b")))
 
-    involved = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b"))
-    some = rows_of(texts, involved, "doc_id").dropDuplicates(["doc_id"])
-    both = pairs.join(some.toDF("a", "s"), "a").join(some.toDF("b", "t"), "b").select("a", "b", "s", "t")
+    places = reps.select("rep", "doc_id", "mark")
+    involved = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select("b")).distinct()
+    found = _texts_of(texts, saved(places.join(involved, "rep")))
+    both = pairs.join(found.toDF("a", "s"), "a").join(found.toDF("b", "t"), "b").select("a", "b", "s", "t")
     links = saved(both.mapInArrow(_confirm(k, percent), "src long, dst long"))
+    discard(pairs)
     first = saved(connected_components(links)).toDF("rep", "c")
 
-    located = members.select("key", "rep", "size").join(first, "rep", "left").select("key", "rep", "size", F.coalesce("c", "rep").alias("comp"))
+    located = members.select("key", "rep", "size", "all").join(first, "rep", "left").select("key", "rep", "size", "all", F.coalesce("c", "rep").alias("comp"))
     mixed = located.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    open_rows = located.join(mixed, "key").withColumn("nb", F.ceil(F.col("size") / BUCKET).cast("long"))
+    blocks_of = F.greatest(F.ceil(F.col("size") / BUCKET), F.least(F.ceil(F.col("all") / SHINGLES), "size")).cast("long")
+    open_rows = located.join(mixed, "key").withColumn("nb", blocks_of)
     open_rows = saved(open_rows.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("nb"))))
+    discard(members)
     small = open_rows.where("nb = 1").select("key", "i", F.lit(0).cast("long").alias("j"), "rep", "comp", F.lit(3).cast("long").alias("side"))
     # cell (i, j), i <= j: block i on the left, block j on the right
     large = open_rows.where("nb > 1").withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
@@ -240,23 +273,28 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
     cells = small.unionAll(large).join(signs, "rep").select("key", "i", "j", "rep", "comp", "side", "sig")
     cells = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "comp", "rep")
     alike = saved(cells.mapInArrow(_similar_members(m, least), "key long, i long, j long, rep long, comp long, side long"))
+    discard(open_rows)
 
-    some = rows_of(texts, alike.select(F.col("rep").alias("id")), "doc_id").dropDuplicates(["doc_id"])
-    full = alike.join(signs, "rep").join(some.withColumnRenamed("doc_id", "rep"), "rep").select("key", "i", "j", "rep", "comp", "side", "sig", "text")
+    found = _texts_of(texts, saved(places.join(alike.select("rep").distinct(), "rep")))
+    full = alike.join(signs, "rep").join(found, "rep").select("key", "i", "j", "rep", "comp", "side", "sig", "text")
     full = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "comp", "rep")
     more = saved(full.mapInArrow(_cell_links(k, percent, m, least), "src long, dst long"))
     second = connected_components(more).toDF("comp", "c2")
 
-    label = folded.join(first, "rep", "left").select("n", "fp1", "fp2", "rep", F.coalesce("c", "rep").alias("comp"))
-    label = label.join(second, "comp", "left").select("n", "fp1", "fp2", F.coalesce("c2", "comp").alias("component_id"))
-    linked = sketch.where("n > 0 and doc_id is not null").select("doc_id", "n", "fp1", "fp2").join(label, ["n", "fp1", "fp2"]).select("doc_id", "n", "component_id")
-    alone = sketch.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    label = reps.select("n", "fp1", "fp2", "rep", "doc_id").join(first, "rep", "left").select("n", "fp1", "fp2", "doc_id", F.coalesce("c", "rep").alias("comp"))
+    label = saved(label.join(second, "comp", "left").select("n", "fp1", "fp2", "doc_id", F.coalesce("c2", "comp").alias("comp")))
+    names = label.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    label = label.join(names, "comp").select("n", "fp1", "fp2", "component_id")
+    linked = some.select("doc_id", "mark", "n", "fp1", "fp2").join(label, ["n", "fp1", "fp2"]).select("doc_id", "mark", "n", "component_id")
+    alone = sketch.where("n = 0 or doc_id is null").select("doc_id", "mark", "n", F.col("doc_id").alias("component_id"))
     got = linked.unionAll(alone)
-    return got.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return got.select("doc_id", "mark", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they were; only possible copies are moved."""
-    got = near_duplicates(docs, id_col=id_col, **kw)
-    gone = saved(got.where("not kept").select(F.col("doc_id").alias("id")))
-    return rows_without(docs, gone, id_col)
+    gone = saved(_judged(docs, k, percent, bands, rows, id_col, text_col).where("not kept").select("doc_id", "mark").distinct())
+    bits = bitmap(gone, "doc_id")
+    inside = maybe(docs, bits, id_col)
+    left = inside.join(gone, (inside[id_col].cast("long") == gone["doc_id"]) & (F.xxhash64(inside[text_col].cast("string")) == gone["mark"]), "left_anti")
+    return maybe(docs, bits, id_col, inside=False).unionByName(left)

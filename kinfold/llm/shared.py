@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from kinfold.operators.components import release, saved, shared_dir
+from kinfold.operators.components import clean, discard, release, remove, saved, shared_dir
 
-__all__ = ["release", "saved", "shared_dir"]
+__all__ = ["clean", "discard", "release", "remove", "saved", "shared_dir"]

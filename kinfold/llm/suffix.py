@@ -3,9 +3,10 @@
 All starts of ``length``-byte strings are sorted into buckets that are refined by
 the bucket identifiers of longer and later parts of the strings; a bucket with a
 single start is finished, as in bucket-pointer suffix sorting.  An identifier is
-a 64-bit fingerprint, so every task names buckets alike without a global sort,
-and only the counts of identifiers are exchanged, pre-aggregated, so a bucket of
-any size costs each task one row.
+a key of 64 bits, so every task names buckets alike without a global sort; where
+equal identifiers decide that bytes go, 31 bits modulo a prime must agree as well.
+Only the counts of identifiers are exchanged, pre-aggregated, so a bucket of any
+size costs each task one row.
 
 Level 0  The q-gram of a start is the smallest (by hash) of the q-grams inside
          its string; neighbouring starts share it and form a node.  Nodes whose
@@ -20,74 +21,39 @@ Level 3  What is left, the ends of repeated passages, is refined to single start
 From level 2 on the open nodes first name the identifiers they ask for, and all
 nodes then count those.
 
-Between levels the driver gets bitmaps of fixed size (``BITS``), whatever the input.
-A false hit only leaves a range to the next level, so results do not depend on
-them; level 3 is exact on identifiers.
+Between levels every task gets bitmaps of identifiers, of 16 bits for each up to 2^27
+bits.  A false hit only leaves a range to the next level, so results do not depend
+on them, and beyond that size only more is counted and moved; level 3 is exact on
+identifiers with their checks.
 
 Defined results: a null or empty text, or one shorter than ``length``, loses
-nothing; strings may overlap themselves; repeated rows repeat each other; null
-ids are allowed; an empty table gives no rows.
+nothing; strings may overlap themselves; repeated rows repeat each other; null and
+repeated ids are allowed; an empty table gives no rows; other columns are ignored, or
+kept as they are by ``without_repeats``.
 """
 
 from __future__ import annotations
 
-import uuid
-import zlib
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import release, shared_dir
-from kinfold.llm.textbuf import PrefixHash, blocks, expand, mix64, text_column
+from kinfold.llm.idfilter import Bits, bits_of, width_for
+from kinfold.llm.shared import discard, saved
+from kinfold.llm.textbuf import PrefixHash, blocks, expand, give_back, mix64, text_column, text_keys
 
 LENGTH = 200
 GRAM = 50
 WIDE = 64
 RANGE = 16
-BITS = 26
-PIECE = 18
-BLOCK = 1 << 20
-SEGMENT = 4 << 20
+BLOCK = 128 << 10
+SEGMENT = 512 << 10
 
 _U, _N, _S, _W, _V = (np.uint64(0x9E3779B97F4A7C15 * k % 2**64) for k in (3, 5, 7, 11, 13))
 NO_ID = -(2**63)
 
 
-class Bits:
-    """A bitmap of 2^BITS hashed identifiers."""
-
-    def __init__(self, packed: bytes):
-        self.packed = packed
-        self.raw = np.frombuffer(zlib.decompress(packed), np.uint8)
-
-    def __reduce__(self):
-        return Bits, (self.packed,)
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        cell = keys >> np.uint64(64 - BITS)
-        return (self.raw[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-
-def bits_of(keys: DataFrame) -> Bits:
-    """The bitmap of a column of identifiers ``key``; its pieces are made where their keys are."""
-
-    def piece(pdf):
-        mark = np.zeros(1 << PIECE, bool)
-        mark[pdf["at"].to_numpy()] = True
-        return pd.DataFrame({"piece": pdf["piece"].iloc[:1], "bits": [zlib.compress(np.packbits(mark, bitorder="little").tobytes(), 1)]})
-
-    cell = F.shiftrightunsigned("key", 64 - BITS).cast("int")
-    rows = keys.select(F.shiftright(cell, PIECE).alias("piece"), cell.bitwiseAND((1 << PIECE) - 1).alias("at"))
-    out = np.zeros((1 << (BITS - PIECE), 1 << (PIECE - 3)), np.uint8)
-    for r in rows.groupBy("piece").applyInPandas(piece, "piece int, bits binary").collect():
-        out[r["piece"]] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-    release(keys.sparkSession)
-    return Bits(zlib.compress(out.tobytes(), 1))
-
-
 def segments(off: np.ndarray, length: int):
     """(first byte, offsets) of blocks of documents; a long document is cut into segments.
 
@@ -114,12 +80,11 @@ class Nodes:
         order = mix64(self.hash.every(q))
         order &= np.uint64(2**64 - 2**24)
         order |= np.arange(n - q + 1, dtype=np.uint64)  # ties go to the first
-        pad = -len(order) % w
-        grid = np.concatenate([order, np.full(pad, 2**64 - 1, np.uint64)]).reshape(-1, w)
-        ahead = np.minimum.accumulate(grid, axis=1).ravel()
-        back = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-        starts = n - length + 1
-        least = np.minimum(back[:starts], ahead[w - 1 : w - 1 + starts])
+        least, span = order, 1
+        while span < w:  # minima of windows, twice as wide each time
+            step = min(span, w - span)
+            least = np.minimum(least[: len(least) - step], least[step:])
+            span += step
         gram = (least & np.uint64(2**24 - 1)).astype(np.int64)
         size = np.maximum(np.diff(off) - length + 1, 0)
         p = expand(off[:-1], size)
@@ -135,6 +100,10 @@ class Nodes:
     def gram_keys(self) -> np.ndarray:
         return mix64(self.hash.slices(self.gram, self.gram + self.q))
 
+    def hull_checks(self, lo=None, hi=None) -> np.ndarray:
+        lo, hi = (self.lo, self.hi) if lo is None else (lo, hi)
+        return self.hash.checks(lo, hi + self.length)
+
     def hull_keys(self, lo=None, hi=None, salt=_U) -> np.ndarray:
         lo, hi = (self.lo, self.hi) if lo is None else (lo, hi)
         return mix64(self.hash.slices(lo, hi + self.length) + salt * (hi - lo + 1).astype(np.uint64))
@@ -164,6 +133,9 @@ class Nodes:
     def start_keys(self, p: np.ndarray) -> np.ndarray:
         return mix64(self.hash.slices(p, p + self.length) + _W)
 
+    def start_checks(self, p: np.ndarray) -> np.ndarray:
+        return self.hash.checks(p, p + self.length)
+
 
 def _table(**cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) for v in cols.values()], names=list(cols))
@@ -173,6 +145,7 @@ def _texts(batches):
     for batch in batches:
         buf, off = text_column(batch.column(batch.num_columns - 1))
         yield batch, buf, off
+    give_back()
 
 
 def _gram_counts(length: int, q: int):
@@ -185,11 +158,27 @@ def _gram_counts(length: int, q: int):
     return run
 
 
+COUNTS = "key long, check int, n int, kind int"
+
+
+def _distinct(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, checks, counts) of distinct pairs."""
+    order = np.lexsort((checks, keys))
+    keys, checks = keys[order], checks[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1])
+    at = np.flatnonzero(new)
+    return keys[at], checks[at], np.diff(np.append(at, len(keys)))
+
+
 def _counted(*kinds) -> pa.RecordBatch:
-    """Rows (key, n, kind) of distinct identifiers by kind."""
-    each = [(k, *np.unique(keys, return_counts=True)) for k, keys in kinds]
+    """Rows (key, check, n, kind) of distinct identifiers by kind; those without checks have 0."""
+    each = [(k, *_distinct(keys, np.zeros(len(keys), np.int32) if checks is None else checks)) for k, keys, checks in kinds]
     return _table(
-        key=np.concatenate([x[1] for x in each]).view(np.int64), n=np.concatenate([x[2] for x in each]).astype(np.int64), kind=np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in each])
+        key=np.concatenate([x[1] for x in each]).view(np.int64),
+        check=np.concatenate([x[2] for x in each]),
+        n=np.concatenate([x[3] for x in each]).astype(np.int32),
+        kind=np.concatenate([np.full(len(x[1]), x[0], np.int32) for x in each]),
     )
 
 
@@ -202,7 +191,7 @@ def _wide_counts(length: int, q: int, grams: Bits):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
                 x.keep(grams.has(x.gram_keys()))
                 node, s, _, _ = x.ranges()
-                yield _counted((1, x.hull_keys()), (2, x.core_keys(node, s, WIDE)))
+                yield _counted((1, x.hull_keys(), x.hull_checks()), (2, x.core_keys(node, s, WIDE), None))
 
     return run
 
@@ -262,7 +251,8 @@ def _narrow_counts(length: int, q: int, known: Levels, asked: Bits):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
                 _, (node, s, lo, hi) = known.candidates(x)
                 cores, hulls = x.core_keys(node, s, RANGE), x.hull_keys(lo, hi, _S)
-                yield _counted((1, cores[asked.has(cores)]), (2, hulls[asked.has(hulls)]))
+                hit = asked.has(hulls)
+                yield _counted((1, cores[asked.has(cores)], None), (2, hulls[hit], x.hull_checks(lo[hit], hi[hit])))
 
     return run
 
@@ -279,14 +269,6 @@ def _open_starts(length: int, q: int, known: Levels):
     return run
 
 
-def fingerprints(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(off) - 1, np.uint64)
-    for lo, hi in blocks(off, BLOCK):
-        o = off[lo : hi + 1] - off[lo]
-        out[lo:hi] = mix64(PrefixHash(buf[off[lo] : off[hi]]).slices(o[:-1], o[1:]) + np.diff(o).astype(np.uint64))
-    return out
-
-
 def _start_counts(length: int, q: int, known: Levels, wanted: Bits):
     """Counts, over all ranges with a repeated core, of the wanted starts."""
 
@@ -295,9 +277,11 @@ def _start_counts(length: int, q: int, known: Levels, wanted: Bits):
             for _, at, o in segments(off, length):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
                 _, _, (lo, hi, _) = known.settle(x)
-                keys = x.start_keys(expand(lo, hi - lo + 1))
-                keys, n = np.unique(keys[wanted.has(keys)], return_counts=True)
-                yield _table(key=keys.view(np.int64), n=n)
+                p = expand(lo, hi - lo + 1)
+                keys = x.start_keys(p)
+                hit = wanted.has(keys)
+                keys, checks, n = _distinct(keys[hit], x.start_checks(p[hit]))
+                yield _table(key=keys.view(np.int64), check=checks, n=n.astype(np.int32))
 
     return run
 
@@ -308,7 +292,7 @@ def _start_places(length: int, q: int, known: Levels, again: Bits):
     def run(batches):
         for batch, buf, off in _texts(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            prints = fingerprints(buf, off).view(np.int64)
+            prints = text_keys(buf, off).view(np.int64)
             for doc, at, o in segments(off, length):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
                 _, _, (lo, hi, unsure) = known.settle(x)
@@ -317,7 +301,7 @@ def _start_places(length: int, q: int, known: Levels, again: Bits):
                 hit = again.has(keys)
                 p, keys = p[hit], keys[hit]
                 place = doc + np.searchsorted(o, p, side="right") - 1
-                yield _table(key=keys.view(np.int64), id=ids[place], print=prints[place], at=at + p - off[place])
+                yield _table(key=keys.view(np.int64), check=x.start_checks(p), id=ids[place], print=prints[place], at=at + p - off[place])
 
     return run
 
@@ -372,7 +356,7 @@ def _finish_sure(length, q, known, touched, as_text):
 
     def run(batches):
         for batch, buf, off in _texts(batches):
-            sure = pa.array(~touched.has(fingerprints(buf, off)))
+            sure = pa.array(~touched.has(text_keys(buf, off)))
             yield from _results(batch.filter(sure), None, length, q, known, as_text)
 
     return run
@@ -383,7 +367,7 @@ def _maybe_touched(touched):
 
     def run(batches):
         for batch, buf, off in _texts(batches):
-            prints = fingerprints(buf, off)
+            prints = text_keys(buf, off)
             hit = pa.array(touched.has(prints))
             cols = [batch.column(0), pa.array(prints.view(np.int64)), batch.column(1), batch.column(2)]
             yield pa.RecordBatch.from_arrays([c.filter(hit) for c in cols], names=["i", "print", "row", "text"])
@@ -403,36 +387,37 @@ def _finish_touched(length, q, known, as_text):
 
 def _repeats(docs: DataFrame, length: int, gram: int, id_col: str, text_col: str, carry: list[str], as_text: bool) -> DataFrame:
     """(row, n_bytes, n_removed, spans, kept): row is a struct of the columns ``carry``, by position."""
-    spark = docs.sparkSession
     row = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry))) if carry else F.struct(F.lit(0).alias("c"))
     full = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), row.alias("row"), F.col(text_col).cast("string").alias("text"))
     texts = full.select("id", "text")
     only = full.select("text")
+    key = F.col("key")
     grams = only.mapInArrow(_gram_counts(length, gram), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    grams = bits_of(grams.where("n > 1").select("key"))
-
-    out = f"{shared_dir(spark)}/repeats-{uuid.uuid4().hex}"
-    counts = "key long, n long, kind int"
-
-    def sums(rows: DataFrame, name: str, keep: str) -> list[Bits]:
-        rows.groupBy("kind", "key").agg(F.sum("n").alias("n")).where(keep).select("kind", "key").write.parquet(f"{out}/{name}")
-        found = spark.read.parquet(f"{out}/{name}")
-        return [bits_of(found.where(F.col("kind") == k).select("key")) for k in (1, 2)]
-
-    known = Levels(grams, *sums(only.mapInArrow(_wide_counts(length, gram, grams), counts), "wide", "(kind = 1 and n = 1) or (kind = 2 and n > 1)"))
-    asked = bits_of(only.mapInArrow(_asked(length, gram, known), "key long").distinct())
-    narrow = sums(only.mapInArrow(_narrow_counts(length, gram, known, asked), counts), "narrow", "(kind = 1 and n > 1) or (kind = 2 and n = 1)")
+    grams = saved(grams.where("n > 1").select("key"))
+    n = grams.count()
+    width = width_for(4 * n)
+    known = bits_of(grams, key, width_for(n))
+    discard(grams)
+
+    def sums(rows: DataFrame, keep: str) -> list[Bits]:
+        found = saved(rows.groupBy("kind", "key", "check").agg(F.sum("n").alias("n")).where(keep).select("kind", "key"))
+        bits = [bits_of(found.where(F.col("kind") == k), key, width) for k in (1, 2)]
+        discard(found)
+        return bits
+
+    known = Levels(known, *sums(only.mapInArrow(_wide_counts(length, gram, known), COUNTS), "(kind = 1 and n = 1) or (kind = 2 and n > 1)"))
+    asked = bits_of(only.mapInArrow(_asked(length, gram, known), "key long"), key, width)
+    narrow = sums(only.mapInArrow(_narrow_counts(length, gram, known, asked), COUNTS), "(kind = 1 and n > 1) or (kind = 2 and n = 1)")
     known = Levels(known.grams, known.hulls, known.wide, *narrow)
 
-    wanted = bits_of(only.mapInArrow(_open_starts(length, gram, known), "key long").distinct())
-    starts = only.mapInArrow(_start_counts(length, gram, known, wanted), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    starts.where("n > 1").select("key").write.parquet(f"{out}/again")
-    again = spark.read.parquet(f"{out}/again")
-    places = texts.mapInArrow(_start_places(length, gram, known, bits_of(again)), "key long, id long, print long, at long")
-    hits = places.join(again, "key")
-    hits.groupBy("id", "print").agg(F.collect_set("at").alias("more")).write.parquet(f"{out}/hits")
-    hits = spark.read.parquet(f"{out}/hits").withColumnRenamed("id", "i")
-    touched = bits_of(hits.select(F.col("print").alias("key")))
+    wanted = bits_of(only.mapInArrow(_open_starts(length, gram, known), "key long"), key, width)
+    starts = only.mapInArrow(_start_counts(length, gram, known, wanted), "key long, check int, n int").groupBy("key", "check").agg(F.sum("n").alias("n"))
+    again = saved(starts.where("n > 1").select("key", "check"))
+    places = texts.mapInArrow(_start_places(length, gram, known, bits_of(again, key, width)), "key long, check int, id long, print long, at long")
+    hits = saved(places.join(again, ["key", "check"]).groupBy("id", "print").agg(F.collect_set("at").alias("more")))
+    discard(again)
+    touched = bits_of(hits, F.col("print"), width_for(hits.count()))
+    hits = hits.withColumnRenamed("id", "i")
 
     kind = full.schema["row"].dataType.simpleString()
     result = f"row {kind}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"

@@ -15,13 +15,13 @@ from __future__ import annotations
 import numpy as np
 
 from kinfold.llm.chunkenc import LOWER
-from kinfold.llm.textbuf import PrefixHash, mix64
+from kinfold.llm.textbuf import Words, mix64
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the words of a block, A-Z in lower case, and words before each document.
+    """Keys of the words of a block, A-Z in lower case, and words before each document.
 
     Words are runs of bytes other than space and 0x09-0x0D.
     """
@@ -33,8 +33,7 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     edge[offsets] = True
     start = np.flatnonzero(solid[1 : n + 1] & (~solid[:n] | edge[:n]))
     end = np.flatnonzero(solid[: n + 1] & (~solid[1:] | edge))
-    h = mix64(PrefixHash(low).slices(start, end) + (end - start).astype(np.uint64) * _ODD)
-    return h, np.searchsorted(start, offsets)
+    return Words(low).keys(start, end), np.searchsorted(start, offsets)
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -3,20 +3,24 @@
 A shard file holds the ids of consecutive documents (ascending ``doc_id``).
 Layout, little-endian:
 
-    magic "KFWM1\\0"  u16 levels  u64 tokens  u64 documents  u32 planes' block bytes
+    magic "KFWM2\0"  u16 levels  u64 tokens  u64 documents  u32 block bytes
     documents  x (i64 doc_id, i64 tokens)            one zstd frame, length first
-    for each level: u64 zeros, u32 blocks, blocks x u32 frame length, frames
+    for each level: u64 zeros, u32 blocks, (blocks+1) x u32 end of frame,
+                    (blocks+1) x u32 ones before block, frames
 
 Each level is one bit-plane in the order of the level (zeros before ones of the
-level above), cut into blocks of ``BLOCK_BYTES`` that are separate zstd frames,
-so that access and rank decompress only the blocks they touch.  Rank counts are
-sampled per block when a level is opened.
+level above), cut into blocks of ``BLOCK_BYTES`` that are separate zstd frames.
+The ones before each block are stored, so access and rank decompress one block a
+level (rank one more for its other end), and select one a level, found by binary
+search over the stored ranks; ``WaveletFile.reads`` counts them.
 
 ``access(i)``, ``rank(token, i)``, ``select(token, k)``, ``count(token)`` and
 ``decode()`` work on the file's bytes alone.
 
-Defined results: a null or empty text has only the end id; repeated doc_ids keep
-one entry per row, in (doc_id, text) order; an empty table has no shards.
+Defined results: a null or empty text has only the end id; a null doc_id stands
+first and is kept as null (its count is stored as its complement); repeated doc_ids
+keep one entry per row, in (doc_id, text) order; an empty table has no shards;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,19 +37,19 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.chunkenc import encoder
 from kinfold.llm.shared import shared_dir
-from kinfold.llm.textbuf import text_column
+from kinfold.llm.textbuf import give_back, text_column
 
-MAGIC = b"KFWM1\0"
+MAGIC = b"KFWM2\0"
 HEAD = struct.Struct("<6sHQQI")
 LEVELS = 16
-BLOCK_BYTES = 1 << 16
+BLOCK_BYTES = 1 << 12
 SHARD_TOKENS = 1 << 19
 
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
 def build(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, levels: int = LEVELS) -> bytes:
-    """A shard file of ``ids`` (below 2^levels), of which ``counts[i]`` belong to ``doc_ids[i]``."""
+    """A shard file of ``ids`` (below 2^levels), of which ``counts[i]``, or its complement for a null id, belong to ``doc_ids[i]``."""
     pack = zstandard.ZstdCompressor(level=1)
     table = pack.compress(np.stack([doc_ids.astype("<i8"), counts.astype("<i8")], axis=1).tobytes())
     out = [HEAD.pack(MAGIC, levels, len(ids), len(doc_ids), BLOCK_BYTES), struct.pack("<I", len(table)), table]
@@ -54,8 +58,11 @@ def build(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, levels: int
         ones = (level & level.dtype.type(1 << s)) != 0
         plane = np.packbits(ones).tobytes()
         frames = [pack.compress(plane[i : i + BLOCK_BYTES]) for i in range(0, len(plane), BLOCK_BYTES)]
+        ends = np.cumsum([0, *map(len, frames)])
+        each = np.add.reduceat(ones, np.arange(0, len(ones), 8 * BLOCK_BYTES)) if len(ones) else np.zeros(0, int)
+        before = np.concatenate([[0], np.cumsum(each)])
         upper = np.compress(ones, level)
-        out += [struct.pack("<QI", len(level) - len(upper), len(frames)), np.array([len(f) for f in frames], "<u4").tobytes(), *frames]
+        out += [struct.pack("<QI", len(level) - len(upper), len(frames)), ends.astype("<u4").tobytes(), before.astype("<u4").tobytes(), *frames]
         level = np.concatenate([np.compress(~ones, level), upper])
     return b"".join(out)
 
@@ -63,28 +70,27 @@ def build(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, levels: int
 class _Plane:
     """One bit-plane with rank, over compressed blocks."""
 
-    def __init__(self, data: memoryview, at: int, n: int, block: int):
-        self.n, self.block, self.data = n, block, data
-        self.zeros, frames = struct.unpack_from("<QI", data, at)
+    def __init__(self, file: WaveletFile, at: int, block: int):
+        self.file, self.n, self.block = file, file.n, block
+        self.zeros, frames = struct.unpack_from("<QI", file.data, at)
         at += 12
-        size = np.frombuffer(data, "<u4", frames, at).astype(np.int64)
-        at += 4 * frames
-        self.at = at + np.concatenate([[0], np.cumsum(size)])
-        self.end = int(self.at[-1])
-        self._open: dict[int, np.ndarray] = {}
-        self._before: np.ndarray | None = None
+        self.ends = np.frombuffer(file.data, "<u4", frames + 1, at)
+        self.before = np.frombuffer(file.data, "<u4", frames + 1, at + 4 * (frames + 1))
+        self.at = at + 8 * (frames + 1)
+        self.end = self.at + int(self.ends[-1])
+        self._open: tuple[int, np.ndarray] | None = None
 
     def bytes_of(self, k: int) -> np.ndarray:
-        if k not in self._open:
-            if len(self._open) > 8:
-                self._open.clear()
-            raw = zstandard.ZstdDecompressor().decompress(self.data[self.at[k] : self.at[k + 1]], max_output_size=self.block)
-            self._open[k] = np.frombuffer(raw, np.uint8)
-        return self._open[k]
+        """Block k; the last one read is kept."""
+        if self._open is None or self._open[0] != k:
+            self.file.reads += 1
+            raw = zstandard.ZstdDecompressor().decompress(self.file.data[self.at + int(self.ends[k]) : self.at + int(self.ends[k + 1])], max_output_size=self.block)
+            self._open = k, np.frombuffer(raw, np.uint8)
+        return self._open[1]
 
     def bits(self) -> np.ndarray:
         """The whole plane as booleans."""
-        raw = [self.bytes_of(k) for k in range(len(self.at) - 1)]
+        raw = [self.bytes_of(k) for k in range(len(self.ends) - 1)]
         return np.unpackbits(np.concatenate(raw), count=self.n).view(bool) if raw else np.zeros(0, bool)
 
     def bit(self, i: int) -> int:
@@ -92,36 +98,32 @@ class _Plane:
         return int(self.bytes_of(k)[r]) >> (7 - (i & 7)) & 1
 
     def ones(self, i: int) -> int:
-        """Ones before position i."""
-        if self._before is None:
-            each = [int(_POPCOUNT[self.bytes_of(k)].sum()) for k in range(len(self.at) - 1)]
-            self._before = np.concatenate([[0], np.cumsum(each)])
+        """Ones before position i: those before its block, as stored, and those before it within the block."""
         k, r = divmod(i >> 3, self.block)
-        if k >= len(self.at) - 1:
-            return int(self._before[-1])
-        got = int(self._before[k]) + int(_POPCOUNT[self.bytes_of(k)[:r]].sum())
-        if i & 7:
-            got += bin(int(self.bytes_of(k)[r]) >> (8 - (i & 7))).count("1")
+        got = int(self.before[min(k, len(self.before) - 1)])
+        if k < len(self.before) - 1 and (r or i & 7):
+            data = self.bytes_of(k)
+            got += int(_POPCOUNT[data[:r]].sum())
+            if i & 7:
+                got += bin(int(data[r]) >> (8 - (i & 7))).count("1")
         return got
 
     def find(self, which: int, k: int) -> int:
-        """Position of the k-th (from 0) bit of value ``which``."""
-        lo, hi = 0, self.n
-        while lo < hi:
-            mid = (lo + hi) // 2
-            ones = self.ones(mid + 1)
-            if (ones if which else mid + 1 - ones) > k:
-                hi = mid
-            else:
-                lo = mid + 1
-        return lo
+        """Position of the k-th (from 0) bit of value ``which``: its block by the stored ranks, then the bit."""
+        size = 8 * self.block
+        before = self.before.astype(np.int64)
+        if not which:
+            before = np.minimum(np.arange(len(before)) * size, self.n) - before
+        b = int(np.searchsorted(before, k, side="right")) - 1
+        bits = np.unpackbits(self.bytes_of(b), count=min(size, self.n - b * size))
+        return b * size + int(np.flatnonzero(bits == which)[k - before[b]])
 
 
 class WaveletFile:
     """Queries on one shard file."""
 
     def __init__(self, data: bytes):
-        self.data = memoryview(data)
+        self.data, self.reads = memoryview(data), 0
         magic, self.levels, self.n, self.n_docs, block = HEAD.unpack_from(self.data)
         if magic != MAGIC:
             raise ValueError("not a shard file")
@@ -129,11 +131,12 @@ class WaveletFile:
         at = HEAD.size + 4
         raw = zstandard.ZstdDecompressor().decompress(self.data[at : at + size], max_output_size=16 * self.n_docs + 16)
         table = np.frombuffer(raw, "<i8").reshape(-1, 2)
-        self.doc_ids, self.counts = table[:, 0], table[:, 1]
+        self.known = table[:, 1] >= 0  # whether a document's id is not null
+        self.doc_ids, self.counts = table[:, 0], np.where(self.known, table[:, 1], ~table[:, 1])
         at += size
         self.planes = []
         for _ in range(self.levels):
-            self.planes.append(_Plane(self.data, at, self.n, block))
+            self.planes.append(_Plane(self, at, block))
             at = self.planes[-1].end
 
     def access(self, i: int) -> int:
@@ -183,11 +186,11 @@ class WaveletFile:
             level = up
         return level
 
-    def documents(self) -> Iterator[tuple[int, np.ndarray]]:
+    def documents(self) -> Iterator[tuple[int | None, np.ndarray]]:
         """(doc_id, ids) in the order of the file."""
         ids, at = self.decode(), 0
-        for d, n in zip(self.doc_ids.tolist(), self.counts.tolist()):
-            yield d, ids[at : at + n]
+        for d, known, n in zip(self.doc_ids.tolist(), self.known, self.counts.tolist()):
+            yield d if known else None, ids[at : at + n]
             at += n
 
 
@@ -211,19 +214,21 @@ def _encode_shards(path: str, end_id: int, shard_tokens: int):
             return pa.RecordBatch.from_pydict(row, schema=SHARD_ARROW)
 
         for batch in batches:
-            ids_of = batch.column(0).to_numpy(zero_copy_only=False)
+            ids_of, unknown = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)
             buf, off = text_column(batch.column(1))
             for lo, ids, ends in enc.encode(buf, off):
                 n = len(ends) - 1
                 flat = np.insert(ids, ends[1:], np.uint16(end_id))
                 parts.append(flat)
                 docs.append(ids_of[lo : lo + n])
-                counts.append(np.diff(ends) + 1)
+                size = np.diff(ends) + 1
+                counts.append(np.where(unknown[lo : lo + n], ~size, size))
                 held += len(flat)
                 if held >= shard_tokens:
                     yield flush()
         if held:
             yield flush()
+        give_back()
 
     return run
 
@@ -260,19 +265,21 @@ def _decode_shards(batches):
                 off = np.concatenate([starts[lo:hi], ends[hi - 1 : hi]])
                 part = raw[off[0] : off[-1]]
                 body = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(((off - off[0]) * 4).astype(np.int32)), pa.py_buffer(part)])
-                yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids[lo:hi]), pa.array(starts[lo:hi] + base), pa.array(f.counts[lo:hi]), body], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids[lo:hi], mask=~f.known[lo:hi]), pa.array(starts[lo:hi] + base), pa.array(f.counts[lo:hi]), body], schema=schema)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of all shards below ``path``; ids little-endian unsigned 32 bits.
 
-    ``start`` is the number of ids of all documents before; it comes from a
-    running sum over one row per shard.
+    ``start`` is the number of ids of all documents before it.  A shard's number has
+    the task that wrote it in its upper bits, so running sums are made in two steps:
+    one row per task over all, then the shards of each task by themselves.
     """
     shards = spark.read.parquet(path)
-    sizes = shards.select("shard", "n_tokens")
-    before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = sizes.select("shard", before.alias("base"))
+    sizes = shards.select("shard", F.shiftright("shard", 32).alias("task"), "n_tokens")
+    before = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = sizes.groupBy("task").agg(F.sum("n_tokens").alias("n_tokens")).select("task", before(Window.orderBy("task")).alias("first"))
+    bases = sizes.join(tasks, "task").select("shard", (F.col("first") + before(Window.partitionBy("task").orderBy("shard"))).alias("base"))
     return shards.select("shard", "payload").join(bases, "shard").select("base", "payload").mapInArrow(_decode_shards, "doc_id long, start long, n_tokens long, ids binary")
 
 

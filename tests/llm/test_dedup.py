@@ -132,3 +132,21 @@ def test_windows_reach_over_parts(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert got == want and sum(want.values()) > 200
+
+
+def test_repeated_ids_on_other_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    df = spark.createDataFrame([(1, a), (1, b), (2, a + " x"), (3, b + " x"), (3, "quite another text of a few words")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df, k=2).collect())
+    assert got == [(1, 29, 1, True), (1, 29, 1, True), (2, 30, 1, False), (3, 6, 1, False), (3, 30, 1, False)] or got == [(1, 29, 1, True), (1, 29, 1, True), (2, 30, 1, False), (3, 6, 3, True), (3, 30, 1, False)]
+    assert sorted(r.text for r in drop_near_duplicates(df, k=2).collect()) == sorted([a, b, "quite another text of a few words"])
+
+
+def test_colliding_words_do_not_link(spark):
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - x for x in bits]
+    one, two = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    df = spark.createDataFrame([(1, one), (2, two), (3, f"{one} x"), (4, f"{two} x")], "doc_id long, text string")
+    assert all(r.component_id == r.doc_id for r in near_duplicates(df, k=2).collect())
+    assert all(r.n_removed == (1024 if r.id < 5 else 0) for r in remove_repeats(df.unionAll(df.selectExpr("doc_id + 10", "'unlike'"))).collect() if r.id in (1, 2, 11))
