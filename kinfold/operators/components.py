@@ -23,14 +23,31 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where unset (tests), a folder of this machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
+    """This application's folder below ``spark.checkpoint.dir``, which the driver and all executors share.
+
+    Where that is unset, a folder of this machine serves a session that is local;
+    any other session gets an error.
+    """
     app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="kinfold-")
-    return _own[app]
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="kinfold-")
+        found = _own[app]
+    return f"{found.rstrip('/')}/kinfold-{app}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark knows."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all tables that this application saved; their DataFrames can't be read any more."""
+    remove(spark, shared_dir(spark))
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -44,7 +61,15 @@ def saved(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     if next(_count) % 4 == 3:
         release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    got = spark.read.schema(df.schema).parquet(path)
+    got._kinfold_path = path
+    return got
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete saved tables that nothing reads any more."""
+    for t in tables:
+        remove(t.sparkSession, t._kinfold_path)
 
 
 def release(spark: SparkSession) -> None:
@@ -60,9 +85,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     listed.  An empty edge table has no rows.  Ids must be of an orderable type.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
-    left = saved(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    loops = left.where("a = b").select(F.col("a").alias("id"), F.col("a").alias("to"))
-    left = left.where("a <> b")
+    every = saved(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    loops = every.where("a = b").select(F.col("a").alias("id"), F.col("a").alias("to"))
+    left, held = every.where("a <> b"), None
     maps: list[DataFrame] = []
     round_no = 0
     while not left.isEmpty():
@@ -73,6 +98,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         one, two = step.select(F.col("id").alias("a"), F.col("to").alias("x")), step.select(F.col("id").alias("b"), F.col("to").alias("y"))
         moved = left.join(one, "a").join(two, "b").where("x <> y")
         left = saved(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        if held is not None:
+            discard(held)
+        held = left
         maps.append(step)
         round_no += 1
     if not maps:
@@ -82,6 +110,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         nxt = step.select(F.col("id").alias("to"), F.col("to").alias("then"))
         label = label.join(nxt, "to", "left").select("id", F.coalesce("then", "to").alias("to"))
     label = saved(label)
+    discard(held, *maps)
     alone = loops.join(label.select("id"), "id", "left_anti")
     low = label.groupBy("to").agg(F.min("id").alias("component"))
     return label.join(low, "to").select("id", "component").unionAll(alone.select("id", F.col("to").alias("component")))
