@@ -69,7 +69,7 @@ def op5_crf_toxicity(spark: SparkSession, d: str) -> DataFrame:
     from kinfold.llm.toxicity import score_documents, train, training_rows
 
     docs = _docs(spark, d)
-    net = train(*training_rows(docs, spark.read.parquet(f"{d}/labels.parquet"), usable=~held_out(F.col("id"))))
+    net = train(training_rows(docs, spark.read.parquet(f"{d}/labels.parquet"), usable=~held_out(F.col("id"))))
     got = score_documents(docs, net)
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
 

@@ -13,13 +13,17 @@ Scoring is exact over whole texts: between tokens with features the chain moves
 by powers of one 2x2 matrix, so its cost is in the tokens that matter.
 
 Only text and training labels enter the model.  It is fitted on a sample of at
-most ``per_class`` rows of each label (in the order of a hash of the id), which
-bounds what the driver gets.
+most ``per_class`` rows of each label (in the order of a hash of the id).  Their
+features are counted and their sentences made on the executors; the driver gets
+``MOST_FEATURES`` features, ``MOST_SENTENCES`` sentences of up to ``SENTENCE`` tokens
+(features and places only) and one number for each training row, however long the texts.
 
 Defined results: null and empty texts get the score of a text without toxic
 tokens; a label that is null is ignored; several labels of one document count as
-toxic if one is; without training rows of both labels every score is 0; repeated
-rows are scored each; an empty table gives no rows.
+toxic if one is; of several rows with the id of a training label the text of lowest
+hash is the example; without training rows of both labels every score is 0; repeated
+rows are scored each; null ids are kept; an empty table gives no rows; other columns
+are ignored, or kept as they are by ``drop_toxic``.
 """
 
 from __future__ import annotations
@@ -32,15 +36,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.chunkenc import LOWER
-from kinfold.llm.textbuf import PrefixHash, blocks, mix64, text_column
+from kinfold.llm.shared import discard, saved
+from kinfold.llm.textbuf import Words, blocks, give_back, mix64, text_column
 
 PER_CLASS = (16000, 4000)
 PREFIXES = (3, 4, 5, 6, 7, 8)
-CELL_BITS = 21
+MOST_FEATURES, MOST_SENTENCES = 50_000, 100_000
 STRONG = 3.0  # log ratio of document frequencies from which a feature labels tokens
 EVIDENCE = 14.0  # and the log likelihood ratio against equal frequencies that it needs
 SENTENCE = 48
-BLOCK = 2 << 20
+#: One in so many sentences without a feature is taken, for the transitions.
+PLAIN = 40
+#: Sentences that are trained on at a time.
+TRAIN_BATCH = 4096
+BLOCK = 512 << 10
 
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[97:123] = _IS_LETTER[0x80:] = True
@@ -61,11 +70,11 @@ def words(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def features(low: np.ndarray, start: np.ndarray, end: np.ndarray):
     """Yield (token indices, feature fingerprints): the word, then each prefix of tokens longer than it."""
-    h = PrefixHash(low)
-    yield np.arange(len(start)), mix64(h.slices(start, end) + np.uint64(1))
+    w = Words(low)
+    yield np.arange(len(start)), mix64(w.keys(start, end) + np.uint64(1))
     for size in PREFIXES:
         at = np.flatnonzero(end - start > size)
-        yield at, mix64(h.slices(start[at], start[at] + size) + np.uint64(size * 2 + 2))
+        yield at, mix64(w.keys(start[at], start[at] + size) + np.uint64(size * 2 + 2))
 
 
 class Crf:
@@ -176,129 +185,119 @@ class Crf:
                 yield evidence, spans
 
 
-def _document_counts(texts: list[bytes], y: np.ndarray) -> np.ndarray:
-    """Documents of each label that have a feature, by hashed cell."""
-    n = np.zeros((2, 1 << CELL_BITS))
-    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    buf = np.frombuffer(b"".join(texts), np.uint8)
-    for lo, hi in blocks(off, BLOCK):
-        o = off[lo : hi + 1] - off[lo]
-        low = LOWER[buf[off[lo] : off[hi]]]
-        start, end = words(low, o)
-        doc = np.searchsorted(o, start, side="right") - 1
-        for at, f in features(low, start, end):
-            cell = (f >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-            both = np.unique(doc[at] << CELL_BITS | cell)
-            label = y[lo + (both >> CELL_BITS)]
-            for k in (0, 1):
-                n[k] += np.bincount(both[label == k] & ((1 << CELL_BITS) - 1), minlength=1 << CELL_BITS)
-    return n
-
+def _tokenised(batches, column: int):
+    """(batch, first row, lower-cased bytes, offsets, starts, ends) of blocks of documents."""
+    for batch in batches:
+        buf, off = text_column(batch.column(column))
+        for lo, hi in blocks(off, BLOCK):
+            o = off[lo : hi + 1] - off[lo]
+            low = LOWER[buf[off[lo] : off[hi]]]
+            yield batch, lo, low, o, *words(low, o)
+    give_back()
 
-def _distinct(texts: list[bytes], looks: int = 4) -> np.ndarray:
-    """Texts that share no minimum of their three-word shingles with an earlier text.
 
-    Copies would count the words they share as often as they occur.
-    """
-    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    buf = np.frombuffer(b"".join(texts), np.uint8)
-    known: set[tuple[int, int]] = set()
-    out = np.zeros(len(texts), bool)
-    for lo, hi in blocks(off, BLOCK):
-        o = off[lo : hi + 1] - off[lo]
-        low = LOWER[buf[off[lo] : off[hi]]]
-        start, end = words(low, o)
-        h = mix64(PrefixHash(low).slices(start, end))
+def _marks(batches, looks: int = 4):
+    """(id, mark): minima of the three-word shingles of documents (id, y, text)."""
+    for batch, lo, low, o, start, end in _tokenised(batches, 2):
+        h = Words(low).keys(start, end)
         first = np.searchsorted(start, o)
-        for i in range(hi - lo):
+        marks = []
+        for i in range(len(o) - 1):
             w = h[first[i] : first[i + 1]]
             if len(w) > 2:
                 w = w[:-2] * np.uint64(3) + w[1:-1] * np.uint64(5) + w[2:]
-            marks = {(k, int(mix64(w + np.uint64(k)).min())) for k in range(looks)} if len(w) else {(0, 0)}
-            out[lo + i] = not marks & known
-            known |= marks
-    return out
+            marks.append([mix64(w + np.uint64(k)).min() + np.uint64(k) for k in range(looks)] if len(w) else [np.uint64(0)] * looks)
+        ids = np.repeat(batch.column(0).to_numpy()[lo : lo + len(o) - 1], looks)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.array(marks, np.uint64).ravel().view(np.int64))], names=["id", "mark"])
 
 
-def train(texts: list[bytes], y: np.ndarray, rounds: int = 60, ridge: float = 1e-3) -> Crf:
-    """Fit the field and the document scale on labelled documents."""
-    none = Crf(np.zeros(0, np.uint64), np.zeros(0), 0.0, np.zeros((2, 2)), (-30.0, 0.0))
-    if not len(y) or y.min() == y.max():
-        return none
-    fresh = _distinct(texts)
-    texts, y = [t for t, f in zip(texts, fresh) if f], y[fresh]
-    if y.min() == y.max():
-        return none
-    counts = _document_counts(texts, y)
-    total = np.bincount(y, minlength=2)
-    ratio = np.log((counts[1] + 0.5) / (total[1] + 1.0)) - np.log((counts[0] + 0.5) / (total[0] + 1.0))
-    have = counts.sum(axis=0)
-    expected = np.maximum(have[None, :] * (total / total.sum())[:, None], 1e-12)
-    gain = (counts * np.log(np.maximum(counts, 1e-12) / expected)).sum(axis=0)
-    wanted = (ratio >= STRONG) & (gain >= EVIDENCE)
-    # labelled sentences: token features among the wanted ones, tokens labelled by document and evidence
-    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    buf = np.frombuffer(b"".join(texts), np.uint8)
-    found: dict[int, int] = {}
-    feats, token_y, rows = [], [], []
-    sentences = 0
-    for lo, hi in blocks(off, BLOCK):
-        o = off[lo : hi + 1] - off[lo]
-        low = LOWER[buf[off[lo] : off[hi]]]
-        start, end = words(low, o)
-        if not len(start):
-            continue
+def _feature_counts(batches):
+    """(key, n0, n1): documents (id, y, text) of each label that have a feature."""
+    for batch, lo, low, o, start, end in _tokenised(batches, 2):
+        y = batch.column(1).to_numpy()[lo : lo + len(o) - 1]
         doc = np.searchsorted(o, start, side="right") - 1
-        each: dict[int, list[int]] = {}
-        for at, f in features(low, start, end):
-            good = np.flatnonzero(wanted[(f >> np.uint64(64 - CELL_BITS)).astype(np.int64)])
-            for t, k in zip(at[good].tolist(), f[good].tolist()):
-                each.setdefault(t, []).append(found.setdefault(k, len(found)))
-        first = np.searchsorted(start, o)
-        place = (np.arange(len(start)) - first[doc]) // SENTENCE
-        sentence = doc * (1 << 24) + place
-        use = np.unique(sentence[np.array(sorted(each), dtype=np.int64)]) if each else np.zeros(0, np.int64)
-        use = np.union1d(use, np.unique(sentence)[::40])  # and plain ones, for the transitions
-        for s in use.tolist():
-            a, b = np.searchsorted(sentence, [s, s + 1])
-            label = int(y[lo + doc[a]])
-            rows.append((sentences, int(b - a)))
-            for t in range(a, b):
-                if t in each:
-                    feats += [(sentences, t - a, k) for k in each[t]]
-                    if label:
-                        token_y.append((sentences, t - a))
-            sentences += 1
-    if not found:
-        return none
-    length = np.array([n for _, n in rows])
-    width = int(length.max())
-    f_row, f_at, f_key = (np.array(c) for c in zip(*feats))
-    gold = np.zeros((sentences, width), dtype=np.int64)
-    if token_y:
-        gold[tuple(np.array(c) for c in zip(*token_y))] = 1
-    live = np.arange(width)[None, :] < length[:, None]
-    weights, bias, moves = np.zeros(len(found)), -3.0, np.zeros((2, 2))
-    pairs = np.zeros((2, 2))
-    inner = live[:, 1:]
-    for i in (0, 1):
-        for j in (0, 1):
-            pairs[i, j] = ((gold[:, :-1] == i) & (gold[:, 1:] == j) & inner).sum()
-    g_w = np.bincount(f_key, weights=gold[f_row, f_at], minlength=len(found))
-    speed = [np.full(len(found), 1e-8), 1e-8, np.full((2, 2), 1e-8)]
-    for _ in range(rounds):
-        s = np.zeros((sentences, width))
-        np.add.at(s, (f_row, f_at), weights[f_key])
-        s += bias
+        found = list(features(low, start, end))
+        keys, docs = np.concatenate([f for _, f in found]), doc[np.concatenate([at for at, _ in found])]
+        order = np.lexsort((docs, keys))
+        keys, docs = keys[order], docs[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
+        keys, toxic = keys[new], y[docs[new]]
+        uniq, inverse = np.unique(keys, return_inverse=True)
+        n1 = np.bincount(inverse, weights=toxic, minlength=len(uniq)).astype(np.int64)
+        n = np.bincount(inverse, minlength=len(uniq))
+        yield pa.RecordBatch.from_arrays([pa.array(uniq.view(np.int64)), pa.array(n - n1), pa.array(n1)], names=["key", "n0", "n1"])
+
+
+SENTENCES = "id long, place long, y int, size int, at array<int>, keys array<long>"
+
+
+def _sentences(wanted: np.ndarray):
+    """Sentences of documents (id, y, text) with a wanted feature, and some without; ``at``: the token of each key."""
+
+    def run(batches):
+        for batch, lo, low, o, start, end in _tokenised(batches, 2):
+            if not len(start):
+                continue
+            ids, y = batch.column(0).to_numpy()[lo:], batch.column(1).to_numpy()[lo:]
+            doc = np.searchsorted(o, start, side="right") - 1
+            inside = np.arange(len(start)) - np.searchsorted(start, o)[doc]
+            begin = np.flatnonzero(inside % SENTENCE == 0)
+            of = np.cumsum(inside % SENTENCE == 0) - 1
+            tokens, keys = [], []
+            for at, f in features(low, start, end):
+                k = np.minimum(np.searchsorted(wanted, f), len(wanted) - 1)
+                hit = wanted[k] == f
+                tokens.append(at[hit])
+                keys.append(f[hit])
+            tokens, keys = np.concatenate(tokens), np.concatenate(keys)
+            order = np.lexsort((keys, tokens))
+            tokens, keys = tokens[order], keys[order]
+            place = inside[begin] // SENTENCE
+            chance = mix64(ids[doc[begin]].view(np.uint64) * np.uint64(31) + place.astype(np.uint64))
+            have = np.bincount(of[tokens], minlength=len(begin))
+            use = np.flatnonzero((have > 0) | (chance % np.uint64(PLAIN) == 0))
+            sizes = np.diff(np.append(begin, len(start)))
+            off = np.concatenate([[0], np.cumsum(have[use])]).astype(np.int32)
+            local = (tokens - begin[of[tokens]]).astype(np.int32)  # those of sentences in use, as all with a feature are
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[doc[begin[use]]]), pa.array(place[use]), pa.array(y[doc[begin[use]]]), pa.array(sizes[use].astype(np.int32)), pa.ListArray.from_arrays(pa.array(off), pa.array(local)), pa.ListArray.from_arrays(pa.array(off), pa.array(keys.view(np.int64)))],
+                names=["id", "place", "y", "size", "at", "keys"],
+            )
+
+    return run
+
+
+class _Batch:
+    """Some labelled sentences, as padded arrays."""
+
+    def __init__(self, size: np.ndarray, label: np.ndarray, row: np.ndarray, at: np.ndarray, key: np.ndarray):
+        width = int(size.max())
+        self.row, self.at, self.key = row, at, key
+        self.gold = np.zeros((len(size), width), dtype=np.int64)
+        toxic = label[row] == 1
+        self.gold[row[toxic], at[toxic]] = 1
+        self.live = np.arange(width)[None, :] < size[:, None]
+
+    def pairs(self) -> np.ndarray:
+        """Counts of neighbouring labels."""
+        a, b, inner = self.gold[:, :-1], self.gold[:, 1:], self.live[:, 1:]
+        return np.array([[((a == i) & (b == j) & inner).sum() for j in (0, 1)] for i in (0, 1)], float)
+
+    def expected(self, weights: np.ndarray, bias: float, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(P(toxic) of each token, expected counts of neighbouring labels), by forward and backward passes."""
+        live = self.live
+        n, width = live.shape
+        s = np.full((n, width), bias)
+        np.add.at(s, (self.row, self.at), weights[self.key])
         score = np.stack([np.zeros_like(s), s], axis=2)
-        ahead = np.zeros((width, sentences, 2))
-        back = np.zeros((width, sentences, 2))
+        ahead, back = np.zeros((width, n, 2)), np.zeros((width, n, 2))
         ahead[0] = score[:, 0]
         for t in range(1, width):
             m = np.logaddexp(ahead[t - 1][:, :1] + moves[0], ahead[t - 1][:, 1:] + moves[1]) + score[:, t]
             ahead[t] = np.where(live[:, t, None], m, ahead[t - 1])
         log_z = np.logaddexp(ahead[-1][:, 0], ahead[-1][:, 1])
-        expected = np.zeros((2, 2))
+        pairs = np.zeros((2, 2))
         for t in range(width - 2, -1, -1):
             nxt = back[t + 1] + score[:, t + 1]
             m = np.stack([np.logaddexp(moves[i, 0] + nxt[:, 0], moves[i, 1] + nxt[:, 1]) for i in (0, 1)], axis=1)
@@ -306,25 +305,82 @@ def train(texts: list[bytes], y: np.ndarray, rounds: int = 60, ridge: float = 1e
             back[t] = np.where(on[:, None], m, 0.0)
             for i in (0, 1):
                 for j in (0, 1):
-                    expected[i, j] += np.exp(ahead[t][on, i] + moves[i, j] + nxt[on, j] - log_z[on]).sum()
-        p = np.exp(np.minimum(ahead[:, :, 1] + back[:, :, 1] - log_z[None, :], 0.0)).T * live
-        n = float(live.sum())
-        grads = [
-            (g_w - np.bincount(f_key, weights=p[f_row, f_at], minlength=len(found))) - ridge * n * 0.01 * weights,
-            float(gold.sum() - p.sum()) - ridge * bias,
-            pairs - expected - ridge * moves,
-        ]
+                    pairs[i, j] += np.exp(ahead[t][on, i] + moves[i, j] + nxt[on, j] - log_z[on]).sum()
+        return np.exp(np.minimum(ahead[:, :, 1] + back[:, :, 1] - log_z[None, :], 0.0)).T * live, pairs
+
+
+def field(batches: list[_Batch], n_features: int, rounds: int = 60, ridge: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
+    """(weights, bias, moves) of largest likelihood, by adaptive gradient steps over all batches."""
+    weights, bias, moves = np.zeros(n_features), -3.0, np.zeros((2, 2))
+    gold = sum(np.bincount(b.key, weights=b.gold[b.row, b.at], minlength=n_features) for b in batches)
+    toxic, tokens = sum(float(b.gold.sum()) for b in batches), sum(float(b.live.sum()) for b in batches)
+    pairs = sum(b.pairs() for b in batches)
+    speed = [np.full(n_features, 1e-8), 1e-8, np.full((2, 2), 1e-8)]
+    for _ in range(rounds):
+        got_w, got_b, got_m = np.zeros(n_features), 0.0, np.zeros((2, 2))
+        for b in batches:
+            p, m = b.expected(weights, bias, moves)
+            got_w += np.bincount(b.key, weights=p[b.row, b.at], minlength=n_features)
+            got_b += float(p.sum())
+            got_m += m
+        grads = [gold - got_w - ridge * tokens * 0.01 * weights, toxic - got_b - ridge * bias, pairs - got_m - ridge * moves]
         # adaptive steps: each parameter by its own gradient history
         for k, g in enumerate(grads):
             speed[k] = speed[k] + g * g
         weights = weights + 0.8 * grads[0] / np.sqrt(speed[0])
         bias = bias + 0.8 * grads[1] / np.sqrt(speed[1])
         moves = moves + 0.8 * grads[2] / np.sqrt(speed[2])
-    keys = np.array(list(found), dtype=np.uint64)
-    order = np.argsort(keys)
-    net = Crf(keys[order], weights[order], float(bias), moves)
-    x = np.array([e for e, _ in net.scan(buf, off)])
-    net.scale = _logistic(x, y)
+    return weights, float(bias), moves
+
+
+def _evidence(net: bytes):
+    crf = pickle.loads(net)
+
+    def run(batches):
+        for batch in batches:
+            got = [e for e, _ in crf.scan(*text_column(batch.column(2)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.float64())], names=["id", "y", "evidence"])
+
+    return run
+
+
+def train(examples: DataFrame) -> Crf:
+    """Fit the field and the document scale on examples (id, y, text), one row for each id."""
+    none = Crf(np.zeros(0, np.uint64), np.zeros(0), 0.0, np.zeros((2, 2)), (-30.0, 0.0))
+    examples = saved(examples)
+    # copies would count the words they share as often as they occur: an example that shares a mark with an earlier one goes
+    marks = saved(examples.mapInArrow(_marks, "id long, mark long"))
+    first = marks.groupBy("mark").agg(F.min("id").alias("first"))
+    fresh = marks.join(first, "mark").groupBy("id").agg(F.min(F.col("id") == F.col("first")).alias("fresh")).where("fresh").select("id")
+    fresh = saved(examples.join(fresh, "id").select("id", "y", "text"))
+    discard(examples, marks)
+    total = {r["y"]: r["n"] for r in fresh.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not total.get(0) or not total.get(1):
+        return none
+    counts = fresh.mapInArrow(_feature_counts, "key long, n0 long, n1 long").groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    share = [total[k] / (total[0] + total[1]) for k in (0, 1)]
+    ratio = F.log((F.col("n1") + 0.5) / (total[1] + 1.0)) - F.log((F.col("n0") + 0.5) / (total[0] + 1.0))
+    term = lambda c, q: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / ((F.col("n0") + F.col("n1")) * q))).otherwise(0.0)
+    chosen = counts.withColumn("gain", term("n0", share[0]) + term("n1", share[1])).where((ratio >= STRONG) & (F.col("gain") >= EVIDENCE))
+    wanted = np.sort(np.array([r["key"] for r in chosen.orderBy(F.desc("gain"), "key").limit(MOST_FEATURES).select("key").collect()], np.int64).view(np.uint64))
+    if not len(wanted):
+        return none
+    some = fresh.mapInArrow(_sentences(wanted), SENTENCES).orderBy(F.xxhash64("id", "place"), "id", "place").limit(MOST_SENTENCES).toArrow().combine_chunks()
+    size, label = (some.column(c).to_numpy() for c in ("size", "y"))
+    each = some.column("keys").combine_chunks()
+    off = np.concatenate([[0], np.cumsum(each.value_lengths().to_numpy())])
+    at, key = some.column("at").combine_chunks().flatten().to_numpy(), np.searchsorted(wanted, each.flatten().to_numpy().view(np.uint64))
+    row = np.repeat(np.arange(len(size)), np.diff(off))
+    batches = []
+    for lo in range(0, len(size), TRAIN_BATCH):
+        hi = min(lo + TRAIN_BATCH, len(size))
+        a, b = off[lo], off[hi]
+        batches.append(_Batch(size[lo:hi], label[lo:hi], row[a:b] - lo, at[a:b], key[a:b]))
+    weights, bias, moves = field(batches, len(wanted))
+    net = Crf(wanted, weights, bias, moves)
+    x = fresh.mapInArrow(_evidence(pickle.dumps(net)), "id long, y int, evidence double").orderBy("id").toArrow()
+    net.scale = _logistic(x.column("evidence").to_numpy(), x.column("y").to_numpy())
+    discard(fresh)
     return net
 
 
@@ -346,21 +402,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 30) -> tuple[float, flo
     return float(theta[0]), float(theta[1])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_class: tuple[int, int] = PER_CLASS, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text") -> tuple[list[bytes], np.ndarray]:
-    """At most ``per_class[y]`` labelled texts of label y, lowest hash of the id first."""
+def training_rows(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per_class: tuple[int, int] = PER_CLASS, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text") -> DataFrame:
+    """(id, y, text) of at most ``per_class[y]`` labelled documents of label y, lowest hash of the id first."""
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     if usable is not None:
         known = known.where(usable)
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     few = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    present = few.select("id").distinct()
+    present = few.where("text is not null").select("id").distinct()
     known = known.join(present, "id", "left_semi")
     order = [F.xxhash64("id"), F.col("id")]
     chosen = [known.where(f"y = {k}").orderBy(*order).limit(per_class[k]) for k in (0, 1)]
-    picked = chosen[0].unionAll(chosen[1])
+    picked = saved(chosen[0].unionAll(chosen[1]))
     got = few.join(F.broadcast(picked), "id").where("text is not null")  # sum(per_class) ids at most
-    rows = sorted({r["id"]: (r["id"], r["text"], r["y"]) for r in got.collect()}.values())
-    return [t.encode() for _, t, _ in rows], np.array([y for _, _, y in rows], dtype=np.int64)
+    return got.groupBy("id").agg(F.first("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -377,6 +432,7 @@ def _score(net: bytes):
                 scores.append(crf.score(evidence))
                 spans.append([{"start": a, "end": b} for a, b in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(spans, SPANS)], names=["id", "score", "spans"])
+        give_back()
 
     return run
 
@@ -397,6 +453,7 @@ def _keep(net: bytes, threshold: float, at: int):
             kept = batch.filter(good)
             if kept.num_rows:
                 yield kept
+        give_back()
 
     return run
 

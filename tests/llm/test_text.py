@@ -47,7 +47,7 @@ def labelled(spark):
 
 def test_toxicity(labelled):
     docs, labels, rows = labelled
-    net = train(*training_rows(docs, labels, usable=F.col("id") % 3 != 1, per_class=(300, 120)))
+    net = train(training_rows(docs, labels, usable=F.col("id") % 3 != 1, per_class=(300, 120)))
     got = {r.doc_id: r for r in score_documents(docs, net).collect()}
     held = [(y, got[i].score >= 0.7) for i, _, y in rows if y is not None and i % 3 == 1]
     assert sum(y == p for y, p in held) / len(held) > 0.98
@@ -56,7 +56,7 @@ def test_toxicity(labelled):
     kept = drop_toxic(docs, net)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i in got if got[i].score < 0.7}
     assert score_documents(docs.limit(0), net).count() == 0
-    none = train(*training_rows(docs, labels.where("toxic = 0")))
+    none = train(training_rows(docs, labels.where("toxic = 0")))
     assert {r.score for r in score_documents(docs.limit(5), none).collect()} == {none.score(0.0)} and none.score(0.0) < 1e-9
 
 
