@@ -26,7 +26,7 @@ TOXIC = 0.7
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose toxicity score reaches the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    net = train(*training_rows(docs, labels, usable=~held_out(F.col("id"))))
+    net = train(training_rows(docs, labels, usable=~held_out(F.col("id"))))
     return drop_toxic(docs, net, TOXIC)
 
 
