@@ -12,9 +12,13 @@ exactly afterwards: both ends of a link share a component, so each component is
 compared with itself in blocks.  Nothing is capped: components beyond a block
 are spread over the pairs of their blocks.
 
+Vectors are told apart by a number of their own, not by vec_id.
+
 Defined results: null, zero, or non-finite vectors and such with null components
 link with nothing; vectors of different lengths never link; repeated vec_ids are
-each a row of the result; an empty table gives no rows.
+each a row of the result, linked by the vector of that row, and each counts as one
+other vector; a null vec_id takes part, names no component unless all of it is
+null, and is kept only then; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -235,14 +239,15 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, passes: int = PASSES,
     0.90, and a pass finds a pair whose keys agree in the first log2(rows / window)
     signs at least; the rounds grow with what the orders still separate.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    kind = "array<float>" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(kind).alias("vec"))
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("vec", lambda x: x != 0)
     fine = F.coalesce(F.col("vec").isNotNull() & ~bad & some, F.lit(False))
     rows = rows.withColumn("k", F.when(fine, F.struct(F.xxhash64("vec").alias("k1"), F.hash("vec", F.size("vec")).alias("k2"))))
     rows = rows.withColumns({"k1": F.col("k.k1"), "k2": F.col("k.k2")}).drop("k")
-    reps = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
-    reps = saved(reps)
+    reps = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
+    reps = saved(reps.select(F.monotonically_increasing_id().alias("rep"), "k1", "k2", "low", "copies", "vec"))
 
     total = reps.count()
     n = max(passes, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
@@ -250,12 +255,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, passes: int = PASSES,
     while True:
         own = seed + turn  # the first round has the given seed
         cuts = _cuts(reps, total, n, passes, bits, own, window)
-        spread = reps.select("rep", "vec").mapInArrow(_keys(passes, bits, own, cuts), "pass int, dim int, part int, key long, rep long, vec array<double>")
+        spread = reps.select("rep", "vec").mapInArrow(_keys(passes, bits, own, cuts), f"pass int, dim int, part int, key long, rep long, vec {kind}")
         sorted_rows = spread.repartition(n, "pass", "dim", "part").sortWithinPartitions("pass", "dim", "part", "key", "rep")
         links = sorted_rows.select("pass", "part", "rep", "vec").mapInArrow(_window_links(window, least), "src long, dst long")
         if comp is not None:
             links = links.unionAll(comp.select(F.col("rep").alias("src"), F.col("component").alias("dst")))
-        comp = saved(connected_components(links)).select(F.col("id").alias("rep"), "component")
+        comp = saved(connected_components(links).select(F.col("id").alias("rep"), "component"))
         sizes = comp.agg(F.count("*").alias("n"), F.count_distinct("component").alias("c")).first()
         before, joined, turn = joined, sizes["n"] - sizes["c"], turn + 1
         if joined == before:
@@ -272,8 +277,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, passes: int = PASSES,
     cells = own.unionAll(left).unionAll(right).repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "rep", "side")
     counts = cells.mapInArrow(_block_counts(least), "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
 
-    done = reps.select("k1", "k2", "rep", "copies").join(comp, "rep", "left").join(counts, "rep", "left")
-    done = done.select("k1", "k2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    done = reps.select("k1", "k2", "rep", "low", "copies").join(comp, "rep", "left").join(counts, "rep", "left")
+    done = saved(done.select("k1", "k2", "low", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component")))
+    names = done.groupBy("component").agg(F.min("low").alias("component_id"))
+    done = done.join(names, "component").select("k1", "k2", "n_links", "component_id")
     linked = rows.where("k1 is not null").select("vec_id", "k1", "k2").join(done, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
     rest = rows.where("k1 is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionAll(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return linked.unionAll(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()))

@@ -150,3 +150,13 @@ def test_colliding_words_do_not_link(spark):
     df = spark.createDataFrame([(1, one), (2, two), (3, f"{one} x"), (4, f"{two} x")], "doc_id long, text string")
     assert all(r.component_id == r.doc_id for r in near_duplicates(df, k=2).collect())
     assert all(r.n_removed == (1024 if r.id < 5 else 0) for r in remove_repeats(df.unionAll(df.selectExpr("doc_id + 10", "'unlike'"))).collect() if r.id in (1, 2, 11))
+
+
+def test_vectors_with_repeated_and_null_ids(spark):
+    """One id on two vectors: each row is linked by its own; a null id takes part but names nothing."""
+    rnd = np.random.default_rng(5)
+    x, y = rnd.standard_normal((2, 16))
+    near = lambda v: (v + rnd.standard_normal(16) * 0.01).tolist()
+    rows = [(1, x.tolist()), (1, y.tolist()), (2, near(x)), (3, near(x)), (3, near(y)), (None, near(y)), (None, rnd.standard_normal(16).tolist())]
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (3, 2, 1, False), (0, 2, 1, False), (0, 0, 0, True)])
