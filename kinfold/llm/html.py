@@ -11,14 +11,19 @@ that shares ``COPY`` of the open text of both is a copy with changes, and tells
 Differencing alone cannot give right results: menus, adverts and footers may be
 worded anew on each page, and articles may share paragraphs with a neighbour
 (copies, licence lines).  So the page's own statements come first: elements that
-declare themselves as boilerplate (nav, footer, aside, form, role, class, id) are
-dropped, and lines inside a declared article are kept.  All lines that the markup
-leaves open are settled by differencing.
+are boilerplate by their kind (nav, footer, aside, form) or say so by a class, role
+or, outside an article, id are dropped, and lines inside a declared article are kept.
+All lines that the markup leaves open are settled by differencing.
+
+A class says so if each of its parts is a word of ``MARKED`` or ``NEUTRAL`` and one is of
+the first ("site-footer" does, "has-sidebar" and "related-work" don't); headings never
+do, and the page's longest article counts whatever encloses it says by class.
 
 Defined results: a null or empty page has an empty text; unclosed and stray tags
 are tolerated; repeated rows are pages of their own, with the same text; a page
 whose neighbours are all copies keeps its open lines; extra columns are ignored;
-a missing URL counts as an empty host and path; an empty table gives no rows.
+a missing URL counts as an empty host and path; null ids are pages of their own;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ import re
 from bisect import bisect_right
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +59,9 @@ MARKED = frozenset(
     subscribe signup login social share sharing related recommended recommendations comment comments respond disqus reply replies
     widget toolbar pagination pager skip search searchbox complementary contentinfo""".split()
 )
+#: Words beside these that say nothing, as in "site-footer".
+NEUTRAL = frozenset("site page main global top bottom left right upper lower box bar list block section area wrap wrapper container inner outer content item items links link row col js primary secondary mobile sticky fixed".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset("article main".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
@@ -64,30 +73,50 @@ CHROME_LINE, OPEN_LINE, ARTICLE_LINE = 0, 1, 2
 COPY = 0.9
 
 
-def _marked(name: str, attributes: str) -> bool:
-    """Whether an element's attributes declare it as boilerplate or hidden."""
+def _says_so(word: str) -> bool:
+    """Whether a class names boilerplate."""
+    if word in MARKED:
+        return True
+    parts = [w for w in re.split(r"[-_:]+", re.sub(r"\d+", "", word)) if w]
+    return any(w in MARKED for w in parts) and all(w in MARKED or w in NEUTRAL for w in parts)
+
+
+def _marked(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """(hidden, declared as boilerplate) by an element's attributes."""
+    hidden = said = False
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" and name != "body":
-            return True
-        if key == "aria-hidden" and value == "true":
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if key in ("class", "id", "role"):
-            for word in value.split():
-                if word in MARKED or any(w in MARKED for w in re.split(r"[-_:]+", re.sub(r"\d+", "", word)) if w):
-                    return True
-    return False
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            hidden = True
+        elif key in ("class", "role") or key == "id" and not in_article:
+            said |= any(map(_says_so, value.split()))
+    return hidden and name not in ("html", "body"), said and name not in HEADINGS and name not in ("html", "body", "article", "main")
+
+
+def _longest_article(page: str) -> int:
+    """Where the longest article or main element begins, or -1."""
+    best, at, open_at = 0, -1, []
+    for m in re.finditer(r"<(/?)(?:article|main)\b", page, re.I):
+        if not m[1]:
+            open_at.append(m.start())
+        elif open_at:
+            first = open_at.pop()
+            if m.start() - first > best:
+                best, at = m.start() - first, first
+    for first in open_at:  # unclosed: to the end of the page
+        if len(page) - first > best:
+            best, at = len(page) - first, first
+    return at
 
 
 def lines(page: str) -> list[tuple[int, str]]:
     """(kind, text) of the page's blocks in order; kind tells what the markup says of them."""
     out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = []  # open elements and the kind inside them
+    stack: list[tuple[str, int, bool]] = []  # open elements, the kind inside them, whether their text is left out within a line
     text: list[str] = []
     at, n = 0, len(page)
-    kind = OPEN_LINE
+    kind, mute = OPEN_LINE, False
+    longest = _longest_article(page)
 
     def end_block():
         if text:
@@ -96,18 +125,22 @@ def lines(page: str) -> list[tuple[int, str]]:
             if s:
                 out.append((kind, s))
 
+    def leave(k: int):
+        nonlocal kind, mute
+        del stack[k:]
+        kind, mute = (stack[-1][1], stack[-1][2]) if stack else (OPEN_LINE, False)
+
     def close(k: int):
-        nonlocal kind
         end_block()
-        del stack[k:]
-        kind = stack[-1][1] if stack else OPEN_LINE
+        leave(k)
 
     while at < n:
         found = TOKEN.search(page, at)
         if found is None:
-            text.append(page[at:])
+            if not mute:
+                text.append(page[at:])
             break
-        if found.start() > at:
+        if found.start() > at and not mute:
             text.append(page[at : found.start()])
         at = found.end()
         name = (found[2] or "").lower()
@@ -116,17 +149,17 @@ def lines(page: str) -> list[tuple[int, str]]:
         if name == "br":
             text.append(" ")
             continue
-        inline = name in INLINE
+        within = name in INLINE or name in HIDDEN or name == "button"  # stands inside a line
         if found[1]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    if inline and stack[k][1] == kind and all(s[0] in INLINE for s in stack[k:]):
-                        del stack[k:]
+                    if within and all(s[0] in INLINE or s[2] for s in stack[k:]):
+                        leave(k)
                     else:
                         close(k)
                     break
             continue
-        if not inline:
+        if not within:
             end_block()
             if name in CLOSES:
                 for k in range(len(stack) - 1, -1, -1):
@@ -141,7 +174,10 @@ def lines(page: str) -> list[tuple[int, str]]:
             continue
         if name in VOID or found[3].endswith("/") and name in ("path", "use"):
             continue
-        if kind == CHROME_LINE or name in CHROME or name in HIDDEN or _marked(name, found[3]) and name not in ("html", "body", "article", "main"):
+        hidden, said = _marked(name, found[3], kind == ARTICLE_LINE)
+        if found.start() == longest and not hidden and not any(s[0] in CHROME or s[2] for s in stack):
+            inside = ARTICLE_LINE
+        elif kind == CHROME_LINE or name in CHROME or name in HIDDEN or hidden or said:
             inside = CHROME_LINE
         elif name == "header" and kind != ARTICLE_LINE:
             inside = CHROME_LINE
@@ -149,19 +185,32 @@ def lines(page: str) -> list[tuple[int, str]]:
             inside = ARTICLE_LINE
         else:
             inside = kind
-        if inline and inside == CHROME_LINE and kind != CHROME_LINE:
-            end_block()
-        stack.append((name, inside))
-        kind = inside
+        mute = mute or within and inside == CHROME_LINE and kind != CHROME_LINE
+        stack.append((name, inside, mute))
+        kind = kind if mute else inside
     end_block()
     return out
 
 
+def _lengths(x: list, y: list) -> np.ndarray:
+    """Lengths of longest common subsequences of x with each prefix of y, by bit-parallel rows."""
+    places: dict = {}
+    for j, v in enumerate(y):
+        places[v] = places.get(v, 0) | 1 << j
+    full = (1 << len(y)) - 1
+    row = full
+    for v in x:
+        hit = row & places.get(v, 0)
+        row = (row + hit | row - hit) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little", count=len(y))
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
 def common(a: list, b: list) -> set[int]:
-    """Positions of ``a`` in a longest common subsequence with ``b``; linear space rows, ties to the front.
+    """Positions of ``a`` in a longest common subsequence with ``b``; linear space, ties to the front.
 
     Shared heads and tails are matched first; items that the other side lacks
-    cannot take part and are left out of the table.
+    cannot take part and are left out.
     """
     keep = set(b)
     xs = [(i, x) for i, x in enumerate(a) if x in keep]
@@ -176,31 +225,20 @@ def common(a: list, b: list) -> set[int]:
     while hi_x > lo and hi_y > lo and xs[hi_x - 1][1] == ys[hi_y - 1]:
         hi_x, hi_y = hi_x - 1, hi_y - 1
         out.add(xs[hi_x][0])
-
-    def solve(x, y):  # Hirschberg: linear space
-        if not x or not y:
-            return
-        if len(x) == 1:
-            if x[0][1] in y:
-                out.add(x[0][0])
-            return
-        mid = len(x) // 2
-
-        def row(p, q):
-            prev = [0] * (len(q) + 1)
-            for _, v in p:
-                cur = [0]
-                for j, w in enumerate(q):
-                    cur.append(prev[j] + 1 if v == w else max(prev[j + 1], cur[j]))
-                prev = cur
-            return prev
-
-        one, two = row(x[:mid], y), row(x[mid:][::-1], y[::-1])
-        cut = max(range(len(y) + 1), key=lambda j: one[j] + two[len(y) - j])
-        solve(x[:mid], y[:cut])
-        solve(x[mid:], y[cut:])
-
-    solve(xs[lo:hi_x], ys[lo:hi_y])
+    todo = [(lo, hi_x, lo, hi_y)]
+    while todo:  # halves of x, with the cut of y that serves both best
+        x0, x1, y0, y1 = todo.pop()
+        if x0 == x1 or y0 == y1:
+            continue
+        if x1 - x0 == 1:
+            if xs[x0][1] in ys[y0:y1]:
+                out.add(xs[x0][0])
+            continue
+        mid = (x0 + x1) // 2
+        one = _lengths([v for _, v in xs[x0:mid]], ys[y0:y1])
+        two = _lengths([v for _, v in xs[mid:x1][::-1]], ys[y0:y1][::-1])
+        cut = y0 + int(np.argmax(one + two[::-1]))
+        todo += [(x0, mid, y0, cut), (mid, x1, cut, y1)]
     return out
 
 

@@ -3,10 +3,15 @@
 Host labels and path segments are split at non-alphanumerics, and each name is
 then segmented by unigram Viterbi: the word costs come from counts over the paths
 of all URLs (host names are what is to be split) and a small dictionary, unknown
-words pay by length.  A multinomial naive Bayes
-over the segmented host and path tokens gives the verdict.  Its examples are all
-URLs themselves: those with a word of ``BLOCK_WORDS`` count as blocked, the
-others as allowed, so words that go with such names are learnt from the corpus.
+words pay by length.  Words of the Viterbi search have up to ``LONGEST`` letters;
+a longer name may also stay whole.
+
+A multinomial naive Bayes over the segmented host and path tokens gives the verdict.
+It is fitted on labelled names (``EXAMPLES``), and then once more on these and all
+URLs, each labelled by the first fit, so tokens that go with such names are learnt
+from the corpus.  Labels belong to whole names; no word decides alone, and a word
+that names of both kinds hold tells little.
+
 Both count tables are exact: one row per word, held as sorted 64-bit fingerprints
 that each look-up compares, so a word that was not counted never gets another's
 count.  What can be told without a row is left out: words counted once are not
@@ -48,19 +53,33 @@ PRIOR, PRIOR_SHARE = 10.0, 1e-3
 #: Smoothing of naive Bayes counts.
 ALPHA = 0.1
 
-#: Words of names that a filter blocks.
-BLOCK_WORDS = """ad ads adult adserver banner bet bets betting bingo bonus buy cash casino cheap click clicks coupon crack cracked
-crypto dating deal deals debt doubleclick escort farm free gamble gambling jackpot hack hookup keygen lender loan loans lottery lotto malware miracle naked nsfw nude payday
+#: How often each labelled name counts beside the corpus.
+EXAMPLE_WEIGHT = 20
+
+#: Words that names are made of, for the segmentation alone.
+DICTIONARY = """ad ads adult adserver banner bet bets betting bingo bonus buy cash casino cheap click clicks coupon crack cracked
+crypto cryptography dating deal deals debt doubleclick escort farm free gamble gambling jackpot hack hookup keygen lender loan loans lottery lotto malware miracle naked nsfw nude payday
 phish phishing pill pills poker porn pharma pharmacy popup promo replica scam sex slots spam spyware swindle torrent track
-tracker tracking tracks viagra warez win winner xxx""".split()
-#: Ordinary words of names.
-ALLOW_WORDS = """about article articles archive blog book books city college community data docs editor example forum garden
-gazette guide health help history home info journal kitchen law library list mail map media medical member museum music
-nature network news notes open page pages paper photo post press project public radio recipe recipes review school science
+tracker tracking tracks viagra warez win winner xxx about article articles archive blog book books city college community data docs
+editor example forum garden gazette guide health help history home info journal kitchen law library list mail map media medical member
+museum music nature network news notes open page pages paper photo post press project public radio recipe recipes review school science
 search shop society sport sports stories story student study support teacher team times today travel university user video
-watch weather web wiki work world www""".split()
-#: Blocked only beside another blocked word: alone they are ordinary.
-WEAK = {"free", "win", "farm", "deal", "deals", "track", "tracks", "buy", "click", "clicks", "bonus", "promo", "winner", "ad", "bet", "sex"}
+watch weather web wiki work world www online store best link links center club service hotel market farmers""".split()
+#: Names that a filter blocks and names that it lets pass, as examples to learn from.
+EXAMPLES = (
+    """adserver adbanner adsclick adstrack adstracker banneradserver clicktracks doubleclickads popupads adultvideo adultx adultdating
+    bingobonus betsonline bestbets bettingbonus freebets sportsbets casinobonus casinowin onlinecasino casinoslots winjackpot lottowin lotterywinner cashwin
+    cheappills pillsonline cheapviagra viagrapharmacy buypills pharmadeals miraclepills replicawatch cheapreplica couponscam cashloans
+    paydayloan paydayloans debtlender fastcashloan freepoker pokercash pokerbonus gamblingcash jackpotslots nakedescort nudedating
+    nsfwxxx pornvideo freeporn sexhookup sexdating xxxporn escortclub hookupnsfw crackedkeygen keygenwarez freewarez torrentcrack warezcrack hackcrack
+    malwarespyware spywarepopup phishingscam phishmail scamspam spamfarm linkfarm spamlinks swindlescam cryptoscam cryptobonus spamtracker""".split(),
+    """cityschool citylibrary dailynews newsarchive worldnews newsjournal pressgazette weathertoday sportsnews sportsteam worldsports
+    musicradio radiostories historymuseum sciencejournal naturephoto gardenguide kitchenrecipes recipebook bookreview booksonline studenthelp teacherguide
+    universitypress collegewiki healthinfo medicaljournal lawlibrary publicmedia openproject opendata datadocs webforum userforum userguide
+    communitynotes societypages travelmap travelguide hotelreview familyhistory homegarden homepage workmail maillist webmail searchhelp supportdocs
+    freelibrary freeschool farmnews farmersmarket trackandfield winterwatch watchstore winnerstories bookshop photoshop videoarchive studyguide
+    editorblog articlearchive memberlist postnotes timesarchive paperarchive eventguide networkwiki cryptography mobilesite wwwexample exampleblog""".split(),
+)
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -164,6 +183,8 @@ class Segmenter:
                 c = best[at] + cost
                 if c < best[end]:
                     best[end], back[end] = c, at
+        if len(name) > LONGEST and self.costs([name])[0] <= best[-1]:
+            return [name]
         out, end = [], len(name)
         while end:
             out.append(name[back[end] : end])
@@ -174,49 +195,54 @@ class Segmenter:
         return [f"h:{w}" for n in names(host) for w in self.split(n)] + [f"p:{w}" for n in names(path) for w in self.split(n)]
 
 
-_BLOCKED, _WEAK = frozenset(BLOCK_WORDS), frozenset(WEAK)
-
-
-def looks_blocked(tokens: list[str]) -> bool:
-    """The example label: a blocked word in the host, a weak one only beside another."""
-    found = [t[2:] for t in tokens if t[:2] == "h:" and t[2:] in _BLOCKED]
-    return len(found) > 1 or any(w not in _WEAK for w in found)
+def example_counts(segmenter: Segmenter) -> dict[str, list[float]]:
+    """(allowed, blocked) counts of the host tokens of the labelled names."""
+    out: dict[str, list[float]] = {}
+    for y, found in ((1, EXAMPLES[0]), (0, EXAMPLES[1])):
+        for name in found:
+            for t in segmenter.split(name):
+                out.setdefault(f"h:{t}", [0.0, 0.0])[y] += EXAMPLE_WEIGHT
+    return out
 
 
 class UrlModel:
     """Segmenter and naive Bayes; ``blocked(host, path)`` is the posterior of the blocked class.
 
     ``classes`` has the counts (allowed, blocked) of tokens, those that stood once
-    and in an allowed URL left out; ``sums`` the tokens of each class and the
-    distinct ones, ``docs`` the URLs of each class.
+    and in an allowed URL left out unless a labelled name has them; ``sums`` the
+    tokens of each class and the distinct ones, ``docs`` the URLs of each class.
+    Without them the model knows the labelled names alone.
     """
 
     def __init__(self, counts: Words | np.ndarray, classes: Words | None = None, sums: tuple[float, float, int] = (0, 0, 0), docs: tuple[int, int] = (0, 0)):
-        self.segmenter = Segmenter(counts, BLOCK_WORDS + ALLOW_WORDS)
-        self.classes = classes
-        self.bias = self.once = 0.0
-        if classes is not None:
-            examples = [f"h:{w}" for w in BLOCK_WORDS if w not in _WEAK]  # each word is an example by itself
-            has, at = classes.find(examples)
-            n = classes.counts.astype(float).reshape(-1, 2)
-            n[at[has], 1] += 1
-            # an example without a row may have stood once, in an allowed URL, whose label this word would have made blocked: so it never stood
-            new = [e for e, h in zip(examples, has) if not h]
-            keys = np.concatenate([classes.keys, fingerprints(new)])
-            n = np.concatenate([n, np.tile([0.0, 1.0], (len(new), 1))])
-            seen = sums[2] + len(new)
-            size = np.array([sums[0], sums[1] + len(examples)])
-            base = np.log(size + ALPHA * max(seen, 1))
-            like = np.log(n + ALPHA) - base
-            self.once = math.log(ALPHA) - base[1] - (math.log(1 + ALPHA) - base[0])
-            self.classes = Words(keys, like[:, 1] - like[:, 0], 0)
-            self.bias = math.log(docs[1] + 1.0) - math.log(docs[0] + 1.0)
+        self.segmenter = Segmenter(counts, DICTIONARY)
+        corpus = classes is not None
+        if classes is None:
+            classes = Words(np.zeros(0, np.int64), np.zeros((0, 2)), 0)
+        examples = example_counts(self.segmenter)
+        more = np.array(list(examples.values()))
+        has, at = classes.find(list(examples))
+        n = classes.counts.astype(float).reshape(-1, 2)
+        n[at[has]] += more[has]
+        keys = np.concatenate([classes.keys, fingerprints([w for w, h in zip(examples, has) if not h])])
+        n = np.concatenate([n, more[~has]])
+        seen = sums[2] + int((~has).sum())
+        size = np.array(sums[:2], float) + more.sum(axis=0)
+        base = np.log(size + ALPHA * max(seen, 1))
+        like = np.log(n + ALPHA) - base
+        # a token without a row: it stood once, in an allowed URL, or, without a corpus, never
+        once = np.log(np.array([1 + ALPHA if corpus else ALPHA, ALPHA])) - base
+        self.once = float(once[1] - once[0])
+        self.classes = Words(keys, like[:, 1] - like[:, 0], 0)
+        self.bias = math.log(docs[1] + EXAMPLE_WEIGHT) - math.log(docs[0] + EXAMPLE_WEIGHT)
 
     def blocked(self, host: str, path: str) -> float:
-        """The posterior of a URL of the table that the model is fitted on."""
-        tokens = self.segmenter.tokens(host, path)
+        """The posterior of a URL of the table that the model is fitted on; the host's tokens alone without a corpus."""
+        return self.posterior(self.segmenter.tokens(host, path))
+
+    def posterior(self, tokens: list[str]) -> float:
         x = self.bias
-        if tokens and self.classes is not None:
+        if tokens:
             has, at = self.classes.find(tokens)
             x += float(np.where(has, self.classes.counts[at], self.once).sum())
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, x))))
@@ -239,6 +265,7 @@ def fit(parts: DataFrame) -> UrlModel:
     total = table.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     counts = Words(*_arrays(table.where("n > 1").select("key", "n")), total)
     first = UrlModel(counts)
+    known = example_counts(first.segmenter)  # what no labelled name has tells the first fit nothing
 
     def labelled(batches):
         for pdf in batches:
@@ -246,7 +273,7 @@ def fit(parts: DataFrame) -> UrlModel:
             docs = [0, 0]
             for h, p in zip(pdf["host"], pdf["path"]):
                 tokens = first.segmenter.tokens(h, p)
-                y = int(looks_blocked(tokens))
+                y = int(first.posterior([t for t in tokens if t in known]) > 0.5)
                 docs[y] += 1
                 found[y].update(tokens)
             every = list(found[0].keys() | found[1].keys())
@@ -255,7 +282,8 @@ def fit(parts: DataFrame) -> UrlModel:
 
     table = saved(parts.mapInPandas(labelled, "kind int, key long, n0 long, n1 long").groupBy("kind", "key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     sums = {r["kind"]: r for r in table.groupBy("kind").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("n")).collect()}
-    key, n0, n1 = _arrays(table.where("kind = 0 and (n0 <> 1 or n1 <> 0)").select("key", "n0", "n1"))
+    kept = (F.col("n0") != 1) | (F.col("n1") != 0) | F.col("key").isin(fingerprints(list(known)).tolist())
+    key, n0, n1 = _arrays(table.where("kind = 0").where(kept).select("key", "n0", "n1"))
     tokens = (sums[0]["n0"], sums[0]["n1"], sums[0]["n"]) if 0 in sums else (0, 0, 0)
     docs = (sums[1]["n0"], sums[1]["n1"]) if 1 in sums else (0, 0)
     return UrlModel(counts, Words(key, np.stack([n0, n1], axis=1), 0), tokens, docs)
