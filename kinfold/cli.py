@@ -37,10 +37,14 @@ def _resolver(settings: Settings):
     def run():
         from pyspark.sql import SparkSession
 
+        from kinfold.operators.components import clean
         from kinfold.plans.resolve import run_folder
 
         spark = SparkSession.builder.appName(settings.PROJECT_NAME).config("spark.sql.session.timeZone", "UTC").getOrCreate()
-        return run_folder(spark, str(settings.processed_dir), settings.output_dir, ResolverOptions(provider=settings.PROVIDER_NAME))
+        try:
+            return run_folder(spark, settings.processed, settings.output, ResolverOptions(provider=settings.PROVIDER_NAME))
+        finally:
+            clean(spark)
 
     return run
 

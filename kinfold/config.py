@@ -38,6 +38,15 @@ class Settings:
     def output_dir(self) -> Path:
         return Path(self.DATA_LAKE_DIR) / "new_data"
 
+    @property
+    def processed(self) -> str | Path:
+        """The folder of the profiles as Spark opens it: a URI below a data lake that is one."""
+        return f"{self.DATA_LAKE_DIR.rstrip('/')}/schema" if "://" in self.DATA_LAKE_DIR else self.processed_dir
+
+    @property
+    def output(self) -> str | Path:
+        return f"{self.DATA_LAKE_DIR.rstrip('/')}/new_data" if "://" in self.DATA_LAKE_DIR else self.output_dir
+
     def set_data_lake(self, path: str | Path) -> None:
         """Point to another data lake and make its folders."""
         self.DATA_LAKE_DIR = str(path)

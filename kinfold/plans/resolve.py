@@ -17,6 +17,7 @@ from kinfold.operators.matching import match_edges, scored_pairs
 from kinfold.operators.split import split_components
 from kinfold.schema import complete
 from kinfold.sources.exports import export
+from kinfold.sources.files import Files
 from kinfold.sources.profiles import load_profiles
 
 
@@ -61,15 +62,21 @@ def comparison_stats(run: Resolution, max_block: int) -> dict:
     return {"naive": naive, "actual": actual, "saved_percent": (1 - actual / naive) * 100 if naive else 0.0, "downblocked": B.downblocked(run.keys, max_block)}
 
 
-def run_folder(spark: SparkSession, source: str, out: str | Path, options: ResolverOptions, table: dict[str, list[str]] | None = None, single: bool = True) -> dict | None:
-    """Resolve the profiles below ``source`` and export them; without profiles nothing is written."""
-    if not Path(source).is_dir():
+def run_folder(spark: SparkSession, source: str | Path, out: str | Path, options: ResolverOptions, table: dict[str, list[str]] | None = None, single: bool | None = None) -> dict | None:
+    """Resolve the profiles below ``source`` and export them; without profiles nothing is written.
+
+    Both folders may be in any file system that Spark can open.
+    """
+    began = time.time()
+    folder = Files(spark, source)
+    if not folder.is_dir():
         return None
-    loaded = load_profiles(spark, str(source), table)
+    loaded = load_profiles(spark, folder.uri, table)
     if loaded.profiles.isEmpty():
         return None
     options.source_dir = options.source_dir or str(source)
     run = resolve(loaded.profiles, options.max_block_size)
+    seconds = time.time() - began
     golden = saved(golden_records(run, options))
-    got = export(golden, Path(out), options, single)
-    return got | {"rejected": loaded.rejected.count(), "stats": comparison_stats(run, options.max_block_size)}
+    got = export(golden, out, options, single)
+    return got | {"rejected": loaded.rejected.count(), "stats": comparison_stats(run, options.max_block_size) | {"seconds": seconds}}

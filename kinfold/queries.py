@@ -20,9 +20,8 @@ from kinfold.functions.similarity import with_ratio
 from kinfold.operators import blocking as B
 from kinfold.operators import delta as D
 from kinfold.operators import golden as G
-from kinfold.operators.components import connected_components, shared_dir
+from kinfold.operators.components import connected_components, saved, shared_dir
 from kinfold.operators.matching import match_edges, scored_pairs
-from kinfold.plans.resolve import golden_records, resolve
 from kinfold.schema import complete
 from kinfold.sources.profiles import profile_columns
 
@@ -123,7 +122,7 @@ def metaphone_codes(spark, d):
 
 
 def _keys(spark, d):
-    coded = B.with_codes(_features(spark, d))
+    coded = saved(B.with_codes(_features(spark, d)))
     return coded, B.blocking_keys(coded)
 
 
@@ -140,12 +139,16 @@ SMALL = 12
 
 def downblock_keys(spark, d):
     coded, keys = _keys(spark, d)
-    return B.refined_keys(keys, coded, SMALL)
+    return B.refined_keys(saved(keys), coded, SMALL)
 
 
-def candidate_pairs(spark, d):
+def _pairs(spark, d):
     coded, keys = _keys(spark, d)
-    return B.candidate_pairs(B.refined_keys(keys, coded, 500))
+    return coded, B.candidate_pairs(saved(B.refined_keys(saved(keys), coded, 500)))
+
+
+def candidate_pairs(spark, d):
+    return _pairs(spark, d)[1]
 
 
 def token_sort_ratio(spark, d):
@@ -155,9 +158,8 @@ def token_sort_ratio(spark, d):
 
 
 def _edges(spark, d):
-    coded, keys = _keys(spark, d)
-    pairs = B.candidate_pairs(B.refined_keys(keys, coded, 500))
-    return coded, match_edges(scored_pairs(pairs, coded))
+    coded, pairs = _pairs(spark, d)
+    return coded, match_edges(scored_pairs(saved(pairs), coded))
 
 
 def match_edges_query(spark, d):
@@ -176,17 +178,11 @@ def component_top_n(spark, d):
 
 
 def comparison_counts(spark, d):
-    coded, keys = _keys(spark, d)
-    pairs = B.candidate_pairs(B.refined_keys(keys, coded, 500))
+    coded, pairs = _pairs(spark, d)
     n = coded.agg(F.count("*").alias("n")).select((F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("naive"))
     return n.crossJoin(pairs.agg(F.count("*").alias("actual")))  # one row each
 
 
-def dob_split(spark, d):
-    run = resolve(people(spark, d))
-    return run.clusters.select("idx", "component", "sub_no")
-
-
 def _clustered(spark, d):
     """Profiles with the person as their cluster."""
     p = people(spark, d)
@@ -286,13 +282,6 @@ def event_props(spark, d):
     return events.select("event_id", F.to_json(F.try_parse_json("props")).alias("canonical"))
 
 
-def resolve_golden(spark, d):
-    """The whole resolver: one row per golden record."""
-    options = ResolverOptions()
-    got = golden_records(resolve(people(spark, d), options.max_block_size), options, VERSION_MS)
-    return got.select("component", "sub_no", "resource_id", "full_name", "n_profiles", "golden_hash")
-
-
 # ------------------------------------------------------------------ DuckDB
 
 #: Expected primary codes of the vocabulary.
@@ -519,7 +508,6 @@ QUERIES = {
     "match_edges": match_edges_query,
     "connected_components": components_query,
     "component_top_n": component_top_n,
-    "dob_split": dob_split,
     "golden_votes": golden_votes,
     "golden_sets": golden_sets,
     "golden_flags": golden_flags,
@@ -534,5 +522,4 @@ QUERIES = {
     "manifest_delta": manifest_delta,
     "jsonl_roundtrip": jsonl_roundtrip,
     "event_props": event_props,
-    "resolve_golden": resolve_golden,
 }

@@ -1,15 +1,15 @@
 """Full and delta exports with their manifests, and the state between runs.
 
-The output folder must be one that the driver can open; rows are written by
-Spark, in order, into one gzip file (``single``) or into ordered part files.
+The output folder may be in any file system that Spark can open and all executors
+reach.  Rows are written by Spark, in order, into one gzip file or, beyond
+``SINGLE_ROWS`` rows, into a folder of ordered part files that all tasks write.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
-import shutil
+import uuid
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -18,7 +18,11 @@ from pyspark.sql import functions as F
 
 from kinfold.config import ResolverOptions
 from kinfold.operators import delta as D
+from kinfold.operators.components import discard, saved
+from kinfold.sources.files import Files
 
+#: Rows of an export that one task still writes into one file.
+SINGLE_ROWS = 1_000_000
 STATE_VERSION = 1
 STATE_SCHEMA = "resource_id string, golden_hash string"
 
@@ -44,57 +48,54 @@ def file_sha256(path: Path, chunk: int = 1 << 20) -> str:
     return digest.hexdigest()
 
 
-def write_lines(rows: DataFrame, order: list[str], target: Path, single: bool = True) -> None:
-    """The column ``json`` of ``rows``, in order, as gzipped lines."""
-    work = target.with_name(f".{target.name}.{os.getpid()}")
+def write_lines(rows: DataFrame, order: list[str], files: Files, name: str, single: bool) -> None:
+    """The column ``json`` of ``rows``, in order, as gzipped lines at ``name``."""
+    work = f".{name}.{uuid.uuid4().hex}"
     lines = rows.select(*order, "json")
     ordered = lines.repartition(1).sortWithinPartitions(*order) if single else lines.orderBy(*order)
-    ordered.select("json").write.mode("overwrite").option("compression", "gzip").text(work.as_uri())
-    if target.is_dir():
-        shutil.rmtree(target)
+    ordered.select("json").write.option("compression", "gzip").text(files.at(work))
     if single:
-        os.replace(next(work.glob("part-*")), target)
-        shutil.rmtree(work)
+        files.move(f"{work}/{next(p for p in files.names(work) if p.startswith('part-'))}", name)
+        files.delete(work)
     else:
-        os.replace(work, target)
+        files.move(work, name)
 
 
-def _write_json(path: Path, body: dict) -> None:
-    work = path.with_name(f".{path.name}.{os.getpid()}")
-    work.write_text(json.dumps(body, indent=2, ensure_ascii=False), encoding="utf-8")
-    os.replace(work, path)
+def _write_json(files: Files, name: str, body: dict) -> None:
+    files.write(name, json.dumps(body, indent=2, ensure_ascii=False))
 
 
-def load_state(spark: SparkSession, path: Path) -> tuple[dict, DataFrame]:
+def load_state(spark: SparkSession, files: Files, name: str) -> tuple[dict, DataFrame]:
     """(version and provider, hashes); a missing or unreadable state is empty."""
     empty = spark.createDataFrame([], STATE_SCHEMA)
     head = {"version": STATE_VERSION, "provider": None}
+    if not files.exists(name):
+        return head, empty
     try:
-        meta = json.loads(path.read_text(encoding="utf-8"))
-        if not isinstance(meta, dict):
-            raise ValueError("not an object")
-        head = {k: meta.get(k, v) for k, v in head.items()}
-        table = meta.get("golden_hashes_table")
-        if table:
-            return head, spark.read.parquet((path.parent / table).as_uri())
-        hashes = meta.get("golden_hashes")
-        if isinstance(hashes, dict) and hashes:
-            return head, spark.createDataFrame([(k, str(v)) for k, v in hashes.items()], STATE_SCHEMA)
-    except (OSError, ValueError):
-        pass
+        meta = json.loads(files.read(name))
+    except ValueError:
+        return head, empty
+    if not isinstance(meta, dict):
+        return head, empty
+    head = {k: meta.get(k, v) for k, v in head.items()}
+    table, hashes = meta.get("golden_hashes_table"), meta.get("golden_hashes")
+    if table:
+        return head, spark.read.schema(STATE_SCHEMA).parquet(files.at(table)) if files.exists(table) else empty
+    if isinstance(hashes, dict) and hashes:
+        return head, spark.createDataFrame([(k, str(v)) for k, v in hashes.items()], STATE_SCHEMA)
     return head, empty
 
 
-def save_state(state: DataFrame, path: Path, provider: str, collisions: int) -> int:
+def save_state(state: DataFrame, files: Files, name: str, provider: str, collisions: int) -> int:
     """Write the hashes as a table beside the state file, then swap the state file to it."""
-    name = f"{path.stem}_hashes_{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S%f')}"
-    state.write.parquet((path.parent / name).as_uri())
-    n = state.sparkSession.read.parquet((path.parent / name).as_uri()).count()
-    old = sorted(path.parent.glob(f"{path.stem}_hashes_*"))
-    _write_json(path, {"version": STATE_VERSION, "provider": provider, "exported_at_iso": now_iso(), "records": n, "collisions": collisions, "golden_hashes_table": name})
-    for folder in old:
-        if folder.name != name:
-            shutil.rmtree(folder, ignore_errors=True)
+    stem = f"{name.rsplit('.', 1)[0]}_hashes_"
+    table = f"{stem}{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S%f')}"
+    state.write.parquet(files.at(table))
+    n = state.sparkSession.read.schema(STATE_SCHEMA).parquet(files.at(table)).count()
+    _write_json(files, name, {"version": STATE_VERSION, "provider": provider, "exported_at_iso": now_iso(), "records": n, "collisions": collisions, "golden_hashes_table": table})
+    for old in files.names():
+        if old.startswith(stem) and old != table:
+            files.delete(old)
     return n
 
 
@@ -103,27 +104,31 @@ def datasets_of(golden: DataFrame) -> list[str]:
     return [r[0] for r in golden.select(F.explode("datasets").alias("d")).distinct().orderBy("d").collect()]
 
 
-def export(golden: DataFrame, out: Path, options: ResolverOptions, single: bool = True) -> dict:
+def export(golden: DataFrame, out: str | Path, options: ResolverOptions, single: bool | None = None) -> dict:
     """Write FULL and, if enabled, DELTA with manifests, then the state; returns both manifests.
 
     ``golden`` has seq columns (component, sub_no), json, golden_hash, resource_id, datasets.
+    ``single`` asks for one file or for part files; as a default the number of rows decides.
     """
     spark = golden.sparkSession
-    out.mkdir(parents=True, exist_ok=True)
+    files = Files(spark, out)
+    files.make()
     at = datetime.now(timezone.utc)
     order = ["component", "sub_no"]
     golden = golden.withColumn("seq", F.struct(*order))
-    full = out / export_name(options.provider, "FULL", at)
-    write_lines(golden, order, full, single)
+    records = golden.count()
+    single = records <= SINGLE_ROWS if single is None else single
+    full = export_name(options.provider, "FULL", at)
+    write_lines(golden, order, files, full, single)
     crashes = D.collisions(golden)
     count = crashes.count()
     datasets = datasets_of(golden)
     hashing = {"algorithm": "sha256", "excluded_data_fields": list(options.excluded_data_fields)}
     meta = {
-        "sha256": file_sha256(full),
-        "file": full.name,
+        "sha256": files.sha256(full),
+        "file": full,
         "format": "jsonl.gz",
-        "records": golden.count(),
+        "records": records,
         "exported_at_iso": now_iso(),
         "datasets": datasets,
         "source_dir": options.source_dir,
@@ -131,30 +136,29 @@ def export(golden: DataFrame, out: Path, options: ResolverOptions, single: bool
         "hashing": hashing,
         "collisions": {"count": count, "sample_ids": [r[0] for r in crashes.orderBy("seq").limit(10).select("resource_id").collect()]},
     }
-    _write_json(out / f"{options.provider}_meta.json", meta)
+    _write_json(files, f"{options.provider}_meta.json", meta)
     if not options.enable_delta:
         return {"full": meta, "delta": None}
 
-    state_path = out / options.state_file
-    _, previous = load_state(spark, state_path)
-    changed = D.classify(golden, previous).where("change <> 'SAME'").cache()
+    _, previous = load_state(spark, files, options.state_file)
+    changed = saved(D.classify(golden, previous).where("change <> 'SAME'").select(*order, "json", "change"))
     counts = {r["change"]: r["n"] for r in changed.groupBy("change").agg(F.count("*").alias("n")).collect()}
-    part = out / export_name(options.provider, "DELTA", at)
-    write_lines(changed, order, part, single)
+    part = export_name(options.provider, "DELTA", at)
+    write_lines(changed, order, files, part, single)
+    discard(changed)
     delta = {
-        "sha256": file_sha256(part),
-        "file": part.name,
+        "sha256": files.sha256(part),
+        "file": part,
         "format": "jsonl.gz",
         "records": sum(counts.values()),
         "new_records": counts.get("NEW", 0),
         "updated_records": counts.get("UPDATED", 0),
         "exported_at_iso": now_iso(),
         "datasets": datasets,  # of all golden rows, not of the changed ones
-        "state_file": state_path.name,
-        "full_file": full.name,
+        "state_file": options.state_file,
+        "full_file": full,
         "hashing": hashing | {"note": "Hash of the merged record without the excluded fields; another hash means UPDATED."},
     }
-    _write_json(out / f"{options.provider}_delta_meta.json", delta)
-    changed.unpersist()
-    save_state(D.current_state(golden), state_path, options.provider, count)
+    _write_json(files, f"{options.provider}_delta_meta.json", delta)
+    save_state(D.current_state(golden), files, options.state_file, options.provider, count)
     return {"full": meta, "delta": delta}
