@@ -36,6 +36,7 @@ def fold(rows: list[tuple]) -> list[int]:
 
     def put(i, g):
         g["names"].append(rows[i][0])
+        g["rep"] = None
         g["aliases"].update(rows[i][2])
         number[i] = g["no"]
 
@@ -44,7 +45,7 @@ def fold(rows: list[tuple]) -> list[int]:
             continue
         home = next((g for g in groups if not g["years"].isdisjoint(years)), None)
         if home is None:
-            home = {"no": len(groups), "years": set(), "names": [], "aliases": set()}
+            home = {"no": len(groups), "years": set(), "names": [], "aliases": set(), "rep": None}
             groups.append(home)
         home["years"].update(years)
         put(i, home)
@@ -53,10 +54,11 @@ def fold(rows: list[tuple]) -> list[int]:
             continue
         best, home = -1.0, None
         for g in groups:
-            rep = representative(g["names"])
-            if not rep:
+            if g["rep"] is None:  # it changed since it was last asked for
+                g["rep"] = representative(g["names"])
+            if not g["rep"]:
                 continue
-            score = token_sort_ratio(name.lower(), rep.lower())
+            score = token_sort_ratio(name.lower(), g["rep"].lower())
             good = score >= ALONE or (score >= WITH_ALIAS and not g["aliases"].isdisjoint(aliases))
             if good and score > best:
                 best, home = score, g

@@ -110,6 +110,12 @@ def nationality_normalize(spark, d):
     return _view(spark, d).select("idx", _bar(C.normalize(F.array("nat"))).alias("codes"))
 
 
+def country_keys(spark, d):
+    """Codes of every text that the dictionary knows, as a text of its own and beside another."""
+    keys = spark.createDataFrame([(k,) for k in C.default_table()], "key string")
+    return keys.select("key", _bar(C.normalize(F.array("key"))).alias("codes"), _bar(C.normalize(F.array(F.concat(F.col("key"), F.lit("; Rep. of Iraq and xx"))))).alias("codes_beside"))
+
+
 def nationality_overlap(spark, d):
     f = _features(spark, d).select("idx", "nats")
     pairs = f.toDF("a", "x").join(f.toDF("b", "y"), F.col("b") == F.col("a") + 5)
@@ -450,6 +456,33 @@ changes AS (SELECT resource_id, CASE WHEN old IS NULL THEN 'NEW' WHEN old <> now
 rows AS (SELECT * FROM h JOIN changes USING (resource_id))"""
 
 
+def _country_sql(text: str) -> str:
+    """Codes of a text by the dictionary ``dm``, in order of appearance."""
+    tail = r"(?i)\s*(?:-\s*NDE|-\s*Non\s*ADB\s*Member\s*Country|\(\s*as\s*at\s*(?:Dec\.?|\w+)\s*\d{4}\s*\))\s*$"
+
+    def strip(x: str) -> str:
+        return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+    def clean(x: str) -> str:
+        tidy = rf"regexp_replace(replace(replace({x}, chr(160), ' '), '’', chr(39)), '\s+', ' ', 'g')"
+        short = strip(f"regexp_replace({strip(tidy)}, '{tail}', '')")
+        return strip(rf"regexp_replace({short}, '\.+$', '')")
+
+    less = clean(rf"regexp_replace(regexp_replace(t, '(?i)\bRep\.?\s*of\b', '', 'g'), '(?i)\bRepublic\s+of\b', '', 'g')")
+    parts = rf"list_transform(regexp_split_to_array({text}, '(?i)\s*(?:;|,|/|\||&|\+|\band\b)\s*'), lambda t: {clean('t')})"
+    codes = f"flatten(list_transform(list_filter({parts}, lambda t: t <> ''), lambda t: CASE WHEN regexp_matches(t, '^[A-Za-z]{{2}}$') THEN [t] ELSE coalesce(dm[t], dm[{less}], []) END))"
+    return f"CASE WHEN regexp_matches({text}, '^[A-Za-z]{{2}}$') THEN [upper({text})] ELSE list_transform({codes}, lambda c: upper(c)) END"
+
+
+def _country_keys_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ",\n".join(f"({quoted(k)}, [{', '.join(map(quoted, v))}]::VARCHAR[])" for k, v in C.default_table().items())
+    once = lambda x: f"array_to_string(list_filter({x}, lambda v, i: list_position({x}, v) = i), '|')"
+    return f"""WITH dict AS (SELECT * FROM (VALUES {rows}) AS t(key, codes)), known AS (SELECT map(list(key), list(codes)) AS dm FROM dict),
+each AS (SELECT key, {_country_sql('key')} AS a, {_country_sql("(key || '; Rep. of Iraq and xx')")} AS b FROM dict, known)
+SELECT key, {once('a')} AS codes, {once('b')} AS codes_beside FROM each"""
+
+
 def oracle_sql() -> dict[str, str]:
     w = f"WITH {_PPL}"
     k = f"{w}, {_KEYS}"
@@ -463,6 +496,7 @@ def oracle_sql() -> dict[str, str]:
         "extract_years": f"{w} SELECT idx, {bar('years')} AS years FROM f",
         "alias_set": f"{w} SELECT idx, {bar('list_sort(aliases)')} AS aliases, coalesce({bar('(SELECT list(x ORDER BY length(x) DESC, list_position(top, x)) FROM unnest(top) AS u(x))')}, '') AS top FROM f",
         "nationality_normalize": f"{w} SELECT idx, {bar(_CODE_OF.replace('list_sort(list_distinct(', '(('))} AS codes FROM f",
+        "country_keys": _country_keys_sql(),
         "nationality_overlap": f"{w} SELECT x.idx AS a, y.idx AS b, list_has_any(x.nats, y.nats) AS overlap FROM f x JOIN f y ON y.idx = x.idx + 5",
         "metaphone_codes": f"{k} SELECT token, code FROM codes WHERE token IN (SELECT unnest(tokens) FROM f)",
         "blocking_keys": f"{k} SELECT idx, key FROM keys",
@@ -497,6 +531,7 @@ QUERIES = {
     "extract_years": extract_years,
     "alias_set": alias_set,
     "nationality_normalize": nationality_normalize,
+    "country_keys": country_keys,
     "nationality_overlap": nationality_overlap,
     "metaphone_codes": metaphone_codes,
     "blocking_keys": blocking_keys,
