@@ -8,7 +8,7 @@
    on full sets.  That unites large groups with one pair per document.
 4. Buckets that still hold several components are compared in full: blocks of
    signatures first, then full sets of members with a similar one in another
-   component.  No pair is emitted but the links found, and no bucket is capped:
+   component, each pair in the first bucket that it shares.  No pair is emitted but the links found, and no bucket is capped:
    large ones are spread over pairs of blocks.
 5. Links are united into components, named by their smallest doc_id.
 
@@ -147,12 +147,29 @@ def _runs(batches, keys: int, change=None):
         yield key, held
 
 
-def _similar_members(m: int, least: float):
-    """Members of a cell with a similar member in another component, each once; rows (key, i, j, rep, comp, side, sig)."""
+def _first_band(equal: np.ndarray, rows: int) -> np.ndarray:
+    """The first band in which pairs agree, given where their signatures do."""
+    return equal.reshape(len(equal), equal.shape[1] // rows, rows).all(axis=2).argmax(axis=1)
+
+
+def _near(sig: np.ndarray, x: int, others: np.ndarray, least: float, rows: int, band: int) -> np.ndarray:
+    """Those of ``others`` with a signature similar to x's, of pairs whose first common band is this one: a pair has one cell."""
+    out = []
+    for lo in range(0, len(others), 4096):
+        y = others[lo : lo + 4096]
+        equal = sig[y] == sig[x]
+        some = equal.mean(axis=1) >= least
+        y, equal = y[some], equal[some]
+        out.append(y[_first_band(equal, rows) == band])
+    return np.concatenate(out) if out else others
+
+
+def _similar_members(m: int, least: float, rows_of: int):
+    """Members of a cell with a similar member in another component, each once; rows (key, i, j, band, rep, comp, side, sig)."""
 
     def run(batches):
         out: list[tuple] = []
-        for key, rows in _runs(batches, 3):
+        for key, rows in _runs(batches, 4):
             comp = np.array([r[1] for r in rows])
             side = np.array([r[2] for r in rows])
             sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), m)
@@ -162,29 +179,27 @@ def _similar_members(m: int, least: float):
             # members of the largest component on the left are reached from the others when both sides are the same
             skip = values[size.argmax()] if key[1] == key[2] and len(values) else None
             for x in left[comp[left] != skip] if skip is not None else left:
-                y = right[comp[right] != comp[x]]
-                for lo in range(0, len(y), 4096):
-                    z = y[lo : lo + 4096]
-                    near = (sig[z] == sig[x]).mean(axis=1) >= least
-                    if near.any():
-                        hit[x] = True
-                        hit[z[near]] = True
+                near = _near(sig, x, right[comp[right] != comp[x]], least, rows_of, key[3])
+                if len(near):
+                    hit[x] = True
+                    hit[near] = True
             out += [(*key, rows[i][0], rows[i][1], rows[i][2]) for i in np.flatnonzero(hit)]
             if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["key", "i", "j", "rep", "comp", "side"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["key", "i", "j", "band", "rep", "comp", "side"])
                 out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["key", "i", "j", "rep", "comp", "side"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["key", "i", "j", "band", "rep", "comp", "side"])
+        give_back()
 
     return run
 
 
-def _cell_links(k: int, percent: int, m: int, least: float):
-    """Links between components within a cell, on full sets; rows (key, i, j, rep, comp, side, sig, text)."""
+def _cell_links(k: int, percent: int, m: int, least: float, rows_of: int):
+    """Links between components within a cell, on full sets; rows (key, i, j, band, rep, comp, side, sig, text)."""
 
     def run(batches):
         out: list[tuple] = []
-        for _, rows in _runs(batches, 3, lambda texts: _sets(texts, k)):
+        for key, rows in _runs(batches, 4, lambda texts: _sets(texts, k)):
             sets = [r[4] for r in rows]
             sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), m)
             up: dict[int, int] = {}
@@ -198,14 +213,15 @@ def _cell_links(k: int, percent: int, m: int, least: float):
             for x, r in enumerate(rows):
                 if not r[2] & 1:
                     continue
-                near = right[(sig[right] == sig[x]).mean(axis=1) >= least]
-                for y in near.tolist():
+                others = right[right > x] if key[1] == key[2] else right
+                for y in _near(sig, x, others, least, rows_of, key[3]).tolist():
                     a, b = top(r[1]), top(rows[y][1])
                     if a != b and _linked(sets[x], sets[y], percent):
                         up[max(a, b)] = min(a, b)
                         out.append((r[1], rows[y][1]))
         src, dst = zip(*out) if out else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
+        give_back()
 
     return run
 
@@ -240,10 +256,10 @@ def _judged(docs: DataFrame, k: int, percent: int, bands: int, rows: int, id_col
     folded = some.groupBy("n", "fp1", "fp2").agg(lowest.alias("low"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
     reps = saved(folded.select(F.monotonically_increasing_id().alias("rep"), "n", "fp1", "fp2", F.col("low.doc_id").alias("doc_id"), F.col("low.mark").alias("mark"), "keys", "sig"))
 
-    spread = reps.select("rep", "n", F.explode("keys").alias("key"))
+    spread = reps.select("rep", "n", F.posexplode("keys").alias("band", "key"))
     draw = F.struct(F.xxhash64("rep", "key").alias("h"), F.col("rep"))
     stats = spread.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("all"), F.min(draw)["rep"].alias("pivot")).where("size > 1")
-    members = saved(spread.join(stats, "key").select("key", "rep", "pivot", "size", "all"))
+    members = saved(spread.join(stats, "key").select("key", F.col("band").cast("long").alias("band"), "rep", "pivot", "size", "all"))
 
     signs = reps.select("rep", "sig")
     pairs = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -259,26 +275,26 @@ def _judged(docs: DataFrame, k: int, percent: int, bands: int, rows: int, id_col
     discard(pairs)
     first = saved(connected_components(links)).toDF("rep", "c")
 
-    located = members.select("key", "rep", "size", "all").join(first, "rep", "left").select("key", "rep", "size", "all", F.coalesce("c", "rep").alias("comp"))
+    located = members.select("key", "band", "rep", "size", "all").join(first, "rep", "left").select("key", "band", "rep", "size", "all", F.coalesce("c", "rep").alias("comp"))
     mixed = located.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
     blocks_of = F.greatest(F.ceil(F.col("size") / BUCKET), F.least(F.ceil(F.col("all") / SHINGLES), "size")).cast("long")
     open_rows = located.join(mixed, "key").withColumn("nb", blocks_of)
     open_rows = saved(open_rows.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("nb"))))
     discard(members)
-    small = open_rows.where("nb = 1").select("key", "i", F.lit(0).cast("long").alias("j"), "rep", "comp", F.lit(3).cast("long").alias("side"))
+    small = open_rows.where("nb = 1").select("key", "i", F.lit(0).cast("long").alias("j"), "band", "rep", "comp", F.lit(3).cast("long").alias("side"))
     # cell (i, j), i <= j: block i on the left, block j on the right
     large = open_rows.where("nb > 1").withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
     side = F.when(F.col("i") == F.col("o"), 3).when(F.col("i") < F.col("o"), 1).otherwise(2).cast("long")
-    large = large.select("key", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "rep", "comp", side.alias("side"))
-    cells = small.unionAll(large).join(signs, "rep").select("key", "i", "j", "rep", "comp", "side", "sig")
+    large = large.select("key", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "band", "rep", "comp", side.alias("side"))
+    cells = small.unionAll(large).join(signs, "rep").select("key", "i", "j", "band", "rep", "comp", "side", "sig")
     cells = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "comp", "rep")
-    alike = saved(cells.mapInArrow(_similar_members(m, least), "key long, i long, j long, rep long, comp long, side long"))
+    alike = saved(cells.mapInArrow(_similar_members(m, least, rows), "key long, i long, j long, band long, rep long, comp long, side long"))
     discard(open_rows)
 
     found = _texts_of(texts, saved(places.join(alike.select("rep").distinct(), "rep")))
-    full = alike.join(signs, "rep").join(found, "rep").select("key", "i", "j", "rep", "comp", "side", "sig", "text")
+    full = alike.join(signs, "rep").join(found, "rep").select("key", "i", "j", "band", "rep", "comp", "side", "sig", "text")
     full = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "comp", "rep")
-    more = saved(full.mapInArrow(_cell_links(k, percent, m, least), "src long, dst long"))
+    more = saved(full.mapInArrow(_cell_links(k, percent, m, least, rows), "src long, dst long"))
     second = connected_components(more).toDF("comp", "c2")
 
     label = reps.select("n", "fp1", "fp2", "rep", "doc_id").join(first, "rep", "left").select("n", "fp1", "fp2", "doc_id", F.coalesce("c", "rep").alias("comp"))
