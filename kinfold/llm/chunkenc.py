@@ -14,11 +14,11 @@ from itertools import chain
 
 import numpy as np
 
-from kinfold.llm.textbuf import SHORT, Words, blocks, expand
+from kinfold.llm.textbuf import SHORT, Words, blocks, expand, same_bytes
 
 BLOCK = 512 << 10
 #: Bytes that the table may hold before it is emptied.
-TABLE_BYTES = 48 << 20
+TABLE_BYTES = 96 << 20
 
 _SPACE, _LETTER, _PUNCT, _MAYBE, _DIGIT, _HIGH = 0, 1, 2, 3, 4, 5
 
@@ -83,33 +83,8 @@ def cuts_dropping_space(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
     return start, stop
 
 
-class Numbers(dict):
-    """Numbers of distinct byte strings, in the order of their first look-up; ``size`` is about the bytes it takes."""
-
-    def __init__(self):
-        super().__init__()
-        self.size = 0
-
-    def __missing__(self, word: bytes) -> int:
-        self.size += len(word) + 150
-        n = self[word] = len(self)
-        return n
-
-
-def exact_keys(buf: np.ndarray, start: np.ndarray, end: np.ndarray, numbers: Numbers) -> np.ndarray:
-    """One key for each distinct slice: its bytes up to seven, its number in ``numbers`` beyond."""
-    size = end - start
-    out = Words(buf).exact(start, size)
-    long = np.flatnonzero(size > SHORT)
-    if len(long):
-        raw = buf.tobytes()
-        found = map(numbers.__getitem__, [raw[a:b] for a, b in zip(start[long].tolist(), end[long].tolist())])
-        out[long] = np.fromiter(found, np.uint64, len(long)) | np.uint64(255 << 56)
-    return out
-
-
 class ChunkTable:
-    """Distinct chunks by exact key, with a payload slice of ids each; to be emptied when ``full``.
+    """Distinct chunks by key, with their bytes and a payload slice of ids each; to be emptied when ``full``.
 
     Keys stand in sorted runs, each at least twice as long as the next.
     """
@@ -120,16 +95,19 @@ class ChunkTable:
 
     def clear(self) -> None:
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
-        self.numbers = Numbers()
         self.ids = np.zeros(0, np.uint16)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int32)
+        self.text = np.zeros(1 << 16, np.uint8)  # the chunks' bytes, with room after them
+        self.used = 0
+        self.at = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
 
     def __len__(self) -> int:
         return len(self.start)
 
     def full(self) -> bool:
-        return 28 * len(self.start) + 2 * len(self.ids) + self.numbers.size > self.limit
+        return 48 * len(self.start) + 2 * len(self.ids) + len(self.text) > self.limit
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Rows of keys, -1 where unknown."""
@@ -140,13 +118,19 @@ class ChunkTable:
             out[hit] = rows[at[hit]]
         return out
 
-    def add(self, keys: np.ndarray, ids: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Rows of new sorted keys."""
+    def add(self, keys: np.ndarray, ids: np.ndarray, length: np.ndarray, text: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Rows of new sorted keys; ``text`` holds their chunks' bytes, ``size`` of each."""
         rows = np.arange(len(self.start), len(self.start) + len(keys), dtype=np.int64)
         first = len(self.ids)
         self.ids = np.concatenate([self.ids, ids])
         self.start = np.concatenate([self.start, first + np.cumsum(length, dtype=np.int64) - length])
         self.length = np.concatenate([self.length, length.astype(np.int32)])
+        if self.used + len(text) + 8 > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros(len(text) + len(self.text) // 2, np.uint8)])
+        self.text[self.used : self.used + len(text)] = text
+        self.at = np.concatenate([self.at, self.used + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.used += len(text)
         self.runs.append((keys, rows))
         while len(self.runs) > 1 and 2 * len(self.runs[-1][0]) > len(self.runs[-2][0]):
             (a, x), (b, y) = self.runs.pop(-2), self.runs.pop()
@@ -155,6 +139,13 @@ class ChunkTable:
             self.runs.append((both[order], np.concatenate([x, y])[order]))
         return rows
 
+    def holds(self, rows: np.ndarray, words: Words, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the chunks of rows are these slices, byte by byte."""
+        out = self.size[rows] == size
+        some = np.flatnonzero(out)
+        out[some] = same_bytes(Words(self.text, padded=True), self.at[rows[some]], words, start[some], size[some])
+        return out
+
 
 class Chunked:
     """Encoding of whole texts through a table of distinct chunks.
@@ -175,15 +166,21 @@ class Chunked:
         """Ids of whole texts that may hold special tokens."""
         raise NotImplementedError
 
-    def rows(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Table rows of the chunks of one block, and the number of chunks before each document."""
+    def rows(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Table rows of the chunks of one block, the number of chunks before each document, and documents with a chunk that is not its row's.
+
+        Chunks of up to seven bytes are their own key; longer ones are compared with the row of their key.
+        """
         if not self.lossless:
             buf = LOWER[buf]
         start, end = (cuts_keeping_space if self.lossless else cuts_dropping_space)(buf, offsets)
         before = np.searchsorted(start, offsets)
         if self.table.full():
             self.table.clear()
-        keys = exact_keys(buf, start, end, self.table.numbers)
+        words, size = Words(buf), end - start
+        long = np.flatnonzero(size > SHORT)
+        keys = words.exact(start, size)
+        keys[long] = words.keys(start[long], end[long]) | np.uint64(255 << 56)
         uniq, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         rows = self.table.find(uniq)
         new = np.flatnonzero(rows < 0)
@@ -191,8 +188,10 @@ class Chunked:
             raw = buf.tobytes()
             at = first[new]
             ids, counts = self.encode_new([raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
-            rows[new] = self.table.add(uniq[new], ids, counts)
-        return rows[inverse], before
+            rows[new] = self.table.add(uniq[new], ids, counts, buf[expand(start[at], size[at])], size[at])
+        rows = rows[inverse]
+        odd = long[~self.table.holds(rows[long], words, start[long], size[long])]
+        return rows, before, np.unique(np.searchsorted(offsets, start[odd], side="right") - 1)
 
     def _specials(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Documents that hold the string of a special token, in any case."""
@@ -210,11 +209,11 @@ class Chunked:
         for lo, hi in blocks(offsets, BLOCK):
             off = offsets[lo : hi + 1] - offsets[lo]
             part = buf[offsets[lo] : offsets[hi]]
-            rows, before = self.rows(part, off)
+            rows, before, odd = self.rows(part, off)
             length = self.table.length[rows]
             ids = self.table.ids[expand(self.table.start[rows], length)]
             ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])[before]
-            whole = self._specials(part, off)
+            whole = np.union1d(self._specials(part, off), odd)
             if len(whole):
                 each = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
                 texts = [part[off[i] : off[i + 1]].tobytes().decode("utf-8", "replace") for i in whole]

@@ -130,9 +130,9 @@ SHORT, MEDIUM = 7, 256
 class Words:
     """Slices of one block as numbers, eight bytes at a time."""
 
-    def __init__(self, buf: np.ndarray):
-        self.raw = np.concatenate([buf, np.zeros(8, np.uint8)])
-        self.view = np.ndarray((len(buf) + 1,), "<u8", self.raw, strides=(1,))
+    def __init__(self, buf: np.ndarray, padded: bool = False):
+        self.raw = buf if padded else np.concatenate([buf, np.zeros(8, np.uint8)])
+        self.view = np.ndarray((len(self.raw) - 7,), "<u8", self.raw, strides=(1,))
 
     def head(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """The first bytes of slices, eight at most."""
@@ -160,6 +160,21 @@ class Words:
         return out
 
 
+def same_bytes(x: Words, x_start: np.ndarray, y: Words, y_start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether slices of equal size hold the same bytes, eight at a time."""
+    out = np.ones(len(size), bool)
+    live = np.flatnonzero(size <= MEDIUM)
+    a, b, left = x_start[live], y_start[live], size[live]
+    while len(live):
+        equal = x.head(a, left) == y.head(b, left)
+        out[live[~equal]] = False
+        go = equal & (left > 8)
+        live, a, b, left = live[go], a[go] + 8, b[go] + 8, left[go] - 8
+    for i in np.flatnonzero(size > MEDIUM).tolist():
+        out[i] = np.array_equal(x.raw[x_start[i] : x_start[i] + size[i]], y.raw[y_start[i] : y_start[i] + size[i]])
+    return out
+
+
 def text_keys(buf: np.ndarray, offsets: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit keys of whole documents by xxh3."""
     raw, off = memoryview(buf), offsets.tolist()

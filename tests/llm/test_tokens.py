@@ -29,7 +29,22 @@ def test_chunks_give_the_librarys_ids(path, texts):
 
     buf, off = text_column(pa.array(texts))
     got = []
-    for _, ids, ends in ChunkEncoder(path, limit=500).encode(buf, off):
+    for _, ids, ends in ChunkEncoder(path, limit=100_000).encode(buf, off):
+        got += [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
+    assert got == library(path, texts)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_chunks_of_one_key(path, texts, monkeypatch):
+    """Chunks whose keys collide are told apart by their bytes."""
+    import pyarrow as pa
+
+    from kinfold.llm import textbuf
+
+    monkeypatch.setattr(textbuf.Words, "keys", lambda self, start, end: (end - start).astype(np.uint64) % np.uint64(3))
+    buf, off = textbuf.text_column(pa.array(texts))
+    got = []
+    for _, ids, ends in ChunkEncoder(path).encode(buf, off):
         got += [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
     assert got == library(path, texts)
 
