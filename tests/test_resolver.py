@@ -15,7 +15,8 @@ from kinfold.operators.split import fold, representative
 from kinfold.plans.jobs import Registry, orchestrate, run_sources
 from kinfold.plans.resolve import run_folder
 from kinfold.service import BadManifest, ExportService, NotFound, iso_to_ms
-from kinfold.sources.exports import export_name
+from kinfold.sources.exports import export_name, file_sha256
+from kinfold.sources.files import Files
 from kinfold.sources.profiles import load_profiles
 
 
@@ -165,6 +166,22 @@ def test_run_and_delta(spark, tmp_path):
     assert off["delta"] is None and not (tmp_path / "off" / "P_state.json").exists()
 
 
+def test_export_as_parts(spark, tmp_path):
+    write(tmp_path / "in", PEOPLE)
+    out = (tmp_path / "out").as_uri()
+    got = run_folder(spark, (tmp_path / "in").as_uri(), out, ResolverOptions(provider="P"), single=False)
+    folder = tmp_path / "out" / got["full"]["file"]
+    lines = [x for p in sorted(folder.glob("part-*")) for x in gzip.open(p, "rt", encoding="utf-8").read().splitlines()]
+    assert len(lines) == got["full"]["records"] == 2 and got["stats"]["seconds"] > 0
+    assert Files(spark, out).sha256(got["full"]["file"]) == got["full"]["sha256"] == file_sha256(folder)
+    assert run_folder(spark, (tmp_path / "in").as_uri(), out, ResolverOptions(provider="P"))["delta"]["records"] == 0
+
+
+def test_representative_changes_as_names_join():
+    rows = [("John Smith", {"1970"}, {"a"}), ("john smith", set(), {"a"}), ("john smith", set(), {"a"}), ("John Smith", set(), {"b"})]
+    assert fold(rows) == [0, 0, 0, 0]
+
+
 def test_delta_collisions(spark):
     from kinfold.operators import delta as D
 
