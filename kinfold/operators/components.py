@@ -1,11 +1,11 @@
 """Connected components of an edge table, by randomised contraction.
 
-In each round every vertex is mapped to the vertex of lowest random priority in
-its closed neighbourhood and the edges are rewritten to the images; a new order
-is drawn for each round, so paths and stars alike shrink by a constant factor in
-expectation.  Neighbourhood minima are pre-aggregated before their exchange, so
-a hub costs one row per task, and the rewriting joins are plain inner joins,
-which adaptive execution can split.  Each round ends in a table in the shared folder.
+In each round every vertex is mapped to the vertex of lowest random priority that
+two edges reach and the edges are rewritten to the images; a new order is drawn for
+each round.  A star of any size is united in one round, and paths shrink by a
+constant factor in expectation.  Minima are pre-aggregated before their exchange, so
+a hub costs one row per task, and the joins are plain inner joins, which adaptive
+execution can split.  Each round ends in a table in the shared folder.
 """
 
 from __future__ import annotations
@@ -93,8 +93,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     while not left.isEmpty():
         rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(round_no)).alias("h"), F.col(c).alias("v"))
         both = left.select("a", rank("b").alias("r")).unionAll(left.select(F.col("b").alias("a"), rank("a").alias("r")))
-        best = both.groupBy("a").agg(F.min("r").alias("r"))
-        step = saved(best.select(F.col("a").alias("id"), F.least(F.col("r"), rank("a"))["v"].alias("to")))
+        near = both.groupBy("a").agg(F.min("r").alias("r")).select(F.col("a").alias("b"), F.least(F.col("r"), rank("a")).alias("r"))
+        ways = left.select("a", "b").unionAll(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # a vertex's own minimum is no lower than those of its neighbours, whose neighbour it is
+        best = ways.join(near, "b").groupBy("a").agg(F.min("r").alias("r"))
+        step = saved(best.select(F.col("a").alias("id"), F.col("r")["v"].alias("to")))
         one, two = step.select(F.col("id").alias("a"), F.col("to").alias("x")), step.select(F.col("id").alias("b"), F.col("to").alias("y"))
         moved = left.join(one, "a").join(two, "b").where("x <> y")
         left = saved(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
