@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -45,6 +46,28 @@ def labelled(spark):
     return docs, labels, rows
 
 
+def plain_score(net, text):
+    """The score by forward and backward sums over every token."""
+    from kinfold.llm.textbuf import Words, mix64
+
+    weight = dict(zip(net.keys.tolist(), net.weights.tolist()))
+
+    def key(part, salt):
+        return int(mix64(Words(np.frombuffer(part, np.uint8)).keys(np.array([0]), np.array([len(part)])) + np.uint64(salt))[0])
+
+    words = re.findall(rb"[a-z\x80-\xff]+", (text or "").encode().lower())
+    found = [[weight[k] for k in [key(w, 1), *(key(w[:n], 2 * n + 2) for n in (3, 4, 5, 6, 7, 8) if len(w) > n)] if k in weight] for w in words]
+    scores = np.array([[0.0, net.bias + sum(x)] for x in found]).reshape(-1, 2)
+    n, ahead, back = len(words), [], [np.zeros(2)]
+    for t in range(n):
+        ahead.append(scores[t] + (np.logaddexp.reduce(ahead[-1][:, None] + net.moves, axis=0) if t else 0.0))
+    for t in range(n - 1, 0, -1):
+        back.append(np.logaddexp.reduce(net.moves + scores[t] + back[-1], axis=1))
+    p = [float(np.exp(a[1] + b[1] - np.logaddexp.reduce(a + b))) for a, b in zip(ahead, back[::-1])]
+    evidence = 1 - np.prod([1 - x for x, f in zip(p, found) if f])
+    return 1 / (1 + np.exp(-(net.scale[0] + net.scale[1] * evidence)))
+
+
 def test_toxicity(labelled):
     docs, labels, rows = labelled
     net = train(training_rows(docs, labels, usable=F.col("id") % 3 != 1, per_class=(300, 120)))
@@ -53,6 +76,8 @@ def test_toxicity(labelled):
     assert sum(y == p for y, p in held) / len(held) > 0.98
     assert got[1000].score == got[1001].score < 0.1 and got[1002].score >= 0.7
     assert [(s.start, s.end) for s in got[1002].spans] == [(0, 8)]
+    for i, text, _ in rows[::40] + rows[-3:]:
+        assert np.isclose(got[i].score, plain_score(net, text), atol=1e-6)
     kept = drop_toxic(docs, net)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i in got if got[i].score < 0.7}
     assert score_documents(docs.limit(0), net).count() == 0
