@@ -47,8 +47,10 @@ def media(spark: SparkSession, d: str) -> DataFrame:
 
     def paint(batches):
         for pdf in batches:
-            ids = pdf["vec_id"].tolist()
-            yield pd.DataFrame({"vec_id": ids, "image": [encode_pgm(edited(draw(i // 4), i % 4, i)) for i in ids]})
+            every = pdf["vec_id"].tolist()
+            for lo in range(0, len(every), 256):
+                ids = every[lo : lo + 256]
+                yield pd.DataFrame({"vec_id": ids, "image": [encode_pgm(edited(draw(i // 4), i % 4, i)) for i in ids]})
 
     ids = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id")
     return ids.mapInPandas(paint, "vec_id long, image binary")
