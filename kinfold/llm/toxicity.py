@@ -285,28 +285,34 @@ class _Batch:
         return np.array([[((a == i) & (b == j) & inner).sum() for j in (0, 1)] for i in (0, 1)], float)
 
     def expected(self, weights: np.ndarray, bias: float, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(P(toxic) of each token, expected counts of neighbouring labels), by forward and backward passes."""
-        live = self.live
-        n, width = live.shape
-        s = np.full((n, width), bias)
-        np.add.at(s, (self.row, self.at), weights[self.key])
-        score = np.stack([np.zeros_like(s), s], axis=2)
-        ahead, back = np.zeros((width, n, 2)), np.zeros((width, n, 2))
-        ahead[0] = score[:, 0]
+        """(P(toxic) of each token, expected counts of neighbouring labels), by forward and backward passes.
+
+        Passes are scaled to sum to one at each token instead of taking logarithms.
+        """
+        live = self.live.T
+        width, n = live.shape
+        s = np.full((width, n), bias)
+        np.add.at(s, (self.at, self.row), weights[self.key])
+        s = np.exp(np.clip(s, -500.0, 500.0))
+        e = np.exp(moves)
+        clean, toxic = np.empty((width, n)), np.empty((width, n))  # forward, of either state
+        clean[0], toxic[0] = 1 / (1 + s[0]), s[0] / (1 + s[0])
         for t in range(1, width):
-            m = np.logaddexp(ahead[t - 1][:, :1] + moves[0], ahead[t - 1][:, 1:] + moves[1]) + score[:, t]
-            ahead[t] = np.where(live[:, t, None], m, ahead[t - 1])
-        log_z = np.logaddexp(ahead[-1][:, 0], ahead[-1][:, 1])
-        pairs = np.zeros((2, 2))
+            x, y = clean[t - 1] * e[0, 0] + toxic[t - 1] * e[1, 0], (clean[t - 1] * e[0, 1] + toxic[t - 1] * e[1, 1]) * s[t]
+            z = x + y
+            clean[t], toxic[t] = np.where(live[t], x / z, clean[t - 1]), np.where(live[t], y / z, toxic[t - 1])
+        p, pairs = np.empty((width, n)), np.zeros((2, 2))
+        b0 = b1 = np.ones(n)  # backward
+        p[-1] = toxic[-1]
         for t in range(width - 2, -1, -1):
-            nxt = back[t + 1] + score[:, t + 1]
-            m = np.stack([np.logaddexp(moves[i, 0] + nxt[:, 0], moves[i, 1] + nxt[:, 1]) for i in (0, 1)], axis=1)
-            on = live[:, t + 1]
-            back[t] = np.where(on[:, None], m, 0.0)
-            for i in (0, 1):
-                for j in (0, 1):
-                    pairs[i, j] += np.exp(ahead[t][on, i] + moves[i, j] + nxt[on, j] - log_z[on]).sum()
-        return np.exp(np.minimum(ahead[:, :, 1] + back[:, :, 1] - log_z[None, :], 0.0)).T * live, pairs
+            on, c1 = live[t + 1], s[t + 1] * b1
+            joint = [[clean[t] * e[0, 0] * b0, clean[t] * e[0, 1] * c1], [toxic[t] * e[1, 0] * b0, toxic[t] * e[1, 1] * c1]]
+            z = joint[0][0] + joint[0][1] + joint[1][0] + joint[1][1]
+            pairs += [[(x[on] / z[on]).sum() for x in row] for row in joint]
+            x, y = e[0, 0] * b0 + e[0, 1] * c1, e[1, 0] * b0 + e[1, 1] * c1
+            b0, b1 = np.where(on, x / (x + y), 1.0), np.where(on, y / (x + y), 1.0)
+            p[t] = toxic[t] * b1 / (clean[t] * b0 + toxic[t] * b1)
+        return (p * live).T, pairs
 
 
 def field(batches: list[_Batch], n_features: int, rounds: int = 60, ridge: float = 1e-3) -> tuple[np.ndarray, float, np.ndarray]:
