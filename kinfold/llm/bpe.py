@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.chunkenc import TABLE_BYTES, Chunked
-from kinfold.llm.textbuf import give_back, text_column
+from kinfold.llm.textbuf import give_back, keep, text_column
 
 END = "</w>"
 #: Pairs of tokens that are remembered, and whole tokens.
@@ -273,7 +273,8 @@ _MODELS: dict[str, WordBpe] = {}
 
 
 def model(path: str) -> WordBpe:
-    """This process's tokenizer for a file."""
+    """This process's tokenizer for a file, kept until a task ends that encodes nothing."""
+    keep("bpe", _MODELS.clear)
     if path not in _MODELS:
         _MODELS[path] = WordBpe(path)
     return _MODELS[path]
@@ -306,7 +307,7 @@ def _encode_partition(path: str):
                         n = k + 1 - first
                         yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo + first, n), pa.array(counts[first : k + 1]), pa.array(numbers), pa.array(texts)], schema=ENCODED)
                         first, numbers, texts, size = k + 1, [], [], 0
-        give_back()
+        give_back(but="bpe")
 
     return run
 

@@ -14,7 +14,7 @@ from itertools import chain
 
 import numpy as np
 
-from kinfold.llm.textbuf import SHORT, Words, blocks, expand, same_bytes
+from kinfold.llm.textbuf import SHORT, Words, blocks, expand, keep, same_bytes
 
 BLOCK = 512 << 10
 #: Bytes that the table may hold before it is emptied.
@@ -298,7 +298,8 @@ _ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
 def encoder(path: str, limit: int = TABLE_BYTES) -> ChunkEncoder:
-    """This process's encoder for a tokenizer file."""
+    """This process's encoder for a tokenizer file, kept until a task ends that encodes nothing."""
+    keep("encoder", _ENCODERS.clear)
     if (path, limit) not in _ENCODERS:
         _ENCODERS[path, limit] = ChunkEncoder(path, limit)
     return _ENCODERS[path, limit]

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.llm.textbuf import give_back
+
 #: Bits of a bitmap: at least, and at most (a memory of 16 MB for each worker).
 LEAST, MOST = 20, 27
 
@@ -66,6 +68,7 @@ def maybe(rows: DataFrame, bits: Bits, id_col: str, inside: bool = True) -> Data
             kept = batch.select(range(len(names))).filter(pa.array(hit if inside else ~hit))
             if kept.num_rows:
                 yield kept
+        give_back()
 
     i = F.col(f"`{id_col}`").cast("long")
     marked = rows.select(*(F.col(f"`{c}`") for c in names), F.xxhash64(i).alias("__cell"), i.isNotNull().alias("__known"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.chunkenc import encoder
-from kinfold.llm.textbuf import text_column
+from kinfold.llm.textbuf import give_back, text_column
 
 MAX_TOKENS = 4096
 GROUP_TOKENS = 4096 * 192
@@ -137,6 +137,7 @@ def _pack_partition(path: str, end_id: int, room: int, group_tokens: int):
         packer.place(True)
         if packer.rows:
             yield packer.drain()
+        give_back(but="encoder")
 
     return run
 

@@ -190,8 +190,19 @@ except (OSError, AttributeError):  # not this C library
     _libc = None
 
 
-def give_back() -> None:
-    """Return memory that this worker no longer uses; idle workers stay beside the busy ones."""
+#: How to drop what a worker keeps between tasks, by the name of what it is for.
+_KEPT: dict = {}
+
+
+def keep(name: str, drop) -> None:
+    """Have ``drop`` called once a task of another purpose ends in this worker."""
+    _KEPT[name] = drop
+
+
+def give_back(but: str = "") -> None:
+    """Return memory that this worker no longer uses, what is kept for other purposes too; idle workers stay beside the busy ones."""
+    for name in [k for k in _KEPT if k != but]:
+        _KEPT.pop(name)()
     pa.default_memory_pool().release_unused()
     if _libc is not None:
         _libc.malloc_trim(0)

@@ -228,7 +228,7 @@ def _encode_shards(path: str, end_id: int, shard_tokens: int):
                     yield flush()
         if held:
             yield flush()
-        give_back()
+        give_back(but="encoder")
 
     return run
 
