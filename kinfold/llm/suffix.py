@@ -11,19 +11,23 @@ size costs each task one row.
 Level 0  The q-gram of a start is the smallest (by hash) of the q-grams inside
          its string; neighbouring starts share it and form a node.  Nodes whose
          q-gram occurs once are finished.
-Level 1  A node's starts all repeat if its whole hull (the union of its strings)
-         occurs again.  Each other node is split into ranges of ``WIDE`` starts; a
-         range whose core (the intersection of its strings) occurs once is finished.
+Level 1  Each other node is split into ranges of ``WIDE`` starts; a range whose core
+         (the intersection of its strings) occurs once is finished.  The starts of
+         a node that is left all repeat if its whole hull (the union of its strings)
+         occurs again; the node is closed.
 Level 2  The rest is split into ranges of ``RANGE`` starts: one whose core occurs
          once is finished, one whose hull occurs again repeats as a whole.
 Level 3  What is left, the ends of repeated passages, is refined to single starts.
 
-From level 2 on the open nodes first name the identifiers they ask for, and all
-nodes then count those.
+Equal strings have equal q-grams, so from level 2 on the hulls of the nodes that are
+left stand in a table and are refined in slices by the q-gram's key, one after the
+other.  There are so many slices that the identifiers of one fit a bitmap, so what
+a slice moves does not grow with the input.  In a slice the open nodes first name the
+identifiers they ask for, and all nodes then count those.
 
 Between levels every task gets bitmaps of identifiers, of 16 bits for each up to 2^27
 bits.  A false hit only leaves a range to the next level, so results do not depend
-on them, and beyond that size only more is counted and moved; level 3 is exact on
+on them; beyond that size levels 0 and 1 leave more to the table.  Level 3 is exact on
 identifiers with their checks.
 
 Defined results: a null or empty text, or one shorter than ``length``, loses
@@ -36,11 +40,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.llm import idfilter
 from kinfold.llm.idfilter import Bits, bits_of, width_for
-from kinfold.llm.shared import discard, saved
+from kinfold.llm.shared import discard, release, saved
 from kinfold.llm.textbuf import PrefixHash, blocks, expand, give_back, mix64, text_column, text_keys
 
 LENGTH = 200
@@ -49,6 +55,8 @@ WIDE = 64
 RANGE = 16
 BLOCK = 128 << 10
 SEGMENT = 512 << 10
+#: Slices are cut from so many parts, for a bitmap at its most to have so many bits for each narrow range of a slice.
+PARTS, SLICE_BITS = 1 << 16, 8
 
 _U, _N, _S, _W, _V = (np.uint64(0x9E3779B97F4A7C15 * k % 2**64) for k in (3, 5, 7, 11, 13))
 NO_ID = -(2**63)
@@ -94,11 +102,20 @@ class Nodes:
         cut = np.concatenate([[0], np.flatnonzero((g[1:] != g[:-1]) | (p[1:] != p[:-1] + 1)) + 1])
         self.lo, self.hi, self.gram = p[cut], p[np.append(cut[1:], len(p)) - 1], g[cut]
 
+    @classmethod
+    def of_hulls(cls, buf: np.ndarray, off: np.ndarray, last: np.ndarray, gram: np.ndarray, length: int, q: int) -> Nodes:
+        """Nodes from their concatenated hulls."""
+        x = cls.__new__(cls)
+        x.length, x.q, x.hash = length, q, PrefixHash(buf)
+        x.lo, x.hi, x.gram = off[:-1], off[:-1] + last, off[:-1] + gram
+        return x
+
     def keep(self, which: np.ndarray) -> None:
         self.lo, self.hi, self.gram = self.lo[which], self.hi[which], self.gram[which]
 
     def gram_keys(self) -> np.ndarray:
-        return mix64(self.hash.slices(self.gram, self.gram + self.q))
+        # mixed once more than for their order: the smallest ones would crowd the lowest cells of a bitmap
+        return mix64(mix64(self.hash.slices(self.gram, self.gram + self.q)) + _U)
 
     def hull_checks(self, lo=None, hi=None) -> np.ndarray:
         lo, hi = (self.lo, self.hi) if lo is None else (lo, hi)
@@ -158,7 +175,8 @@ def _gram_counts(length: int, q: int):
     return run
 
 
-COUNTS = "key long, check int, n int, kind int"
+COUNTS = "key long, check int, n int"
+NARROW_COUNTS = f"{COUNTS}, kind int"
 
 
 def _distinct(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,7 +201,7 @@ def _counted(*kinds) -> pa.RecordBatch:
 
 
 def _wide_counts(length: int, q: int, grams: Bits):
-    """Identifiers of hulls (kind 1) and of the cores of wide ranges (2)."""
+    """Identifiers of the cores of wide ranges."""
 
     def run(batches):
         for _, buf, off in _texts(batches):
@@ -191,119 +209,202 @@ def _wide_counts(length: int, q: int, grams: Bits):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
                 x.keep(grams.has(x.gram_keys()))
                 node, s, _, _ = x.ranges()
-                yield _counted((1, x.hull_keys(), x.hull_checks()), (2, x.core_keys(node, s, WIDE), None))
+                keys, n = np.unique(x.core_keys(node, s, WIDE), return_counts=True)
+                yield _table(key=keys.view(np.int64), n=n)
 
     return run
 
 
 class Levels:
-    """What is known so far, as bitmaps.
+    """What is known of the texts, as bitmaps.
 
-    grams: repeated q-grams; hulls: unrepeated hulls of nodes; wide: repeated cores
-    of wide ranges; cores, parts: repeated cores and unrepeated hulls of narrow ones.
+    grams: repeated q-grams; wide: repeated cores of wide ranges; hulls: unrepeated
+    hulls of nodes with such a range.
     """
 
-    def __init__(self, grams: Bits, hulls: Bits, wide: Bits, cores: Bits | None = None, parts: Bits | None = None):
-        self.grams, self.hulls, self.wide, self.cores, self.parts = grams, hulls, wide, cores, parts
+    def __init__(self, grams: Bits, wide: Bits, hulls: Bits | None = None):
+        self.grams, self.wide, self.hulls = grams, wide, hulls
 
-    def candidates(self, x: Nodes):
-        """(open nodes, narrow ranges in wide ones with a repeated core); keeps the nodes with a repeated q-gram in x."""
+    def candidates(self, x: Nodes) -> None:
+        """Keep the nodes with a repeated q-gram and a wide range with a repeated core."""
         x.keep(self.grams.has(x.gram_keys()))
         node, s, _, _ = x.ranges()
-        again = self.wide.has(x.core_keys(node, s, WIDE))
-        return self.hulls.has(x.hull_keys()), x.split(node[again], s[again])
-
-    def settle(self, x: Nodes):
-        """(firsts, lasts) of runs of starts that repeat; (first, last, open node) of ranges whose core repeats."""
-        open_node, (node, s, lo, hi) = self.candidates(x)
-        again = self.cores.has(x.core_keys(node, s, RANGE))
-        node, lo, hi = node[again], lo[again], hi[again]
-        mine = open_node[node]
-        unsure = np.zeros(len(lo), bool)
-        unsure[mine] = self.parts.has(x.hull_keys(lo[mine], hi[mine], _S))
-        sure = mine & ~unsure
-        first = np.concatenate([x.lo[~open_node], lo[sure]])
-        last = np.concatenate([x.hi[~open_node], hi[sure]])
-        return first, last, (lo, hi, unsure)
+        left = np.zeros(len(x.lo), bool)
+        left[node[self.wide.has(x.core_keys(node, s, WIDE))]] = True
+        x.keep(left)
 
 
-def _asked(length: int, q: int, known: Levels):
-    """Identifiers that the open nodes ask for at level 2."""
+def _hull_counts(length: int, q: int, known: Levels):
+    """Identifiers of the hulls of nodes that are left."""
 
     def run(batches):
         for _, buf, off in _texts(batches):
             for _, at, o in segments(off, length):
                 x = Nodes(buf[at : at + o[-1]], o, length, q)
-                open_node, (node, s, lo, hi) = known.candidates(x)
-                mine = open_node[node]
-                keys = np.concatenate([x.core_keys(node[mine], s[mine], RANGE), x.hull_keys(lo[mine], hi[mine], _S)])
-                yield _table(key=np.unique(keys).view(np.int64))
+                known.candidates(x)
+                keys, checks, n = _distinct(x.hull_keys(), x.hull_checks())
+                yield _table(key=keys.view(np.int64), check=checks, n=n.astype(np.int32))
 
     return run
 
 
-def _narrow_counts(length: int, q: int, known: Levels, asked: Bits):
-    """Counts, over all nodes, of the asked identifiers: cores (kind 1) and hulls (2) of narrow ranges."""
+NODES = "part int, open boolean, id long, print long, at long, last int, gram int, hull binary"
+
+
+def _nodes(length: int, q: int, known: Levels):
+    """The nodes that are left, with their hulls: each open one, and one closed of each hull in a block."""
 
     def run(batches):
-        for _, buf, off in _texts(batches):
-            for _, at, o in segments(off, length):
-                x = Nodes(buf[at : at + o[-1]], o, length, q)
-                _, (node, s, lo, hi) = known.candidates(x)
-                cores, hulls = x.core_keys(node, s, RANGE), x.hull_keys(lo, hi, _S)
-                hit = asked.has(hulls)
-                yield _counted((1, cores[asked.has(cores)], None), (2, hulls[hit], x.hull_checks(lo[hit], hi[hit])))
+        for batch, buf, off in _texts(batches):
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            prints = text_keys(buf, off).view(np.int64)
+            for doc, at, o in segments(off, length):
+                text = buf[at : at + o[-1]]
+                x = Nodes(text, o, length, q)
+                known.candidates(x)
+                keys, checks = x.hull_keys(), x.hull_checks()
+                is_open = known.hulls.has(keys)
+                order = np.lexsort((checks, keys))
+                keys, checks = keys[order], checks[order]
+                again = np.zeros(len(order), bool)
+                again[order[1:]] = (keys[1:] == keys[:-1]) & (checks[1:] == checks[:-1])
+                left = is_open | ~again
+                x.keep(left)
+                if not len(x.lo):
+                    continue
+                place = doc + np.searchsorted(o, x.lo, side="right") - 1
+                size = x.hi - x.lo + length
+                ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                hulls = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(text[expand(x.lo, size)])])
+                part = (x.gram_keys() >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int32)
+                yield _table(
+                    part=part, open=is_open[left], id=ids[place], print=prints[place], at=at + x.lo - off[place],
+                    last=(x.hi - x.lo).astype(np.int32), gram=(x.gram - x.lo).astype(np.int32), hull=hulls,
+                )
 
     return run
 
 
-def _open_starts(length: int, q: int, known: Levels):
-    def run(batches):
-        for _, buf, off in _texts(batches):
-            for _, at, o in segments(off, length):
-                x = Nodes(buf[at : at + o[-1]], o, length, q)
-                _, _, (lo, hi, unsure) = known.settle(x)
-                p = expand(lo[unsure], (hi - lo + 1)[unsure])
-                yield _table(key=np.unique(x.start_keys(p)).view(np.int64))
+class Slice:
+    """Levels 2 and 3 on the nodes of one slice; rows (open, id, print, at, last, gram, hull).
 
-    return run
+    wide: as in Levels; cores, parts: repeated cores and unrepeated hulls of narrow ranges.
+    """
 
+    def __init__(self, length: int, q: int, wide: Bits, cores: Bits | None = None, parts: Bits | None = None):
+        self.length, self.q, self.wide, self.cores, self.parts = length, q, wide, cores, parts
 
-def _start_counts(length: int, q: int, known: Levels, wanted: Bits):
-    """Counts, over all ranges with a repeated core, of the wanted starts."""
+    def stored(self, batches):
+        """(columns open, id, print, at; nodes) of blocks of rows."""
+        for batch in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:6]]
+            buf, off = text_column(batch.column(6))
+            for lo, hi in blocks(off, BLOCK):
+                *which, last, gram = (c[lo:hi] for c in cols)
+                yield which, Nodes.of_hulls(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], last, gram, self.length, self.q)
+        give_back()
+
+    def narrow(self, x: Nodes):
+        """Narrow ranges in the wide ones with a repeated core."""
+        node, s, _, _ = x.ranges()
+        again = self.wide.has(x.core_keys(node, s, WIDE))
+        return x.split(node[again], s[again])
 
-    def run(batches):
-        for _, buf, off in _texts(batches):
-            for _, at, o in segments(off, length):
-                x = Nodes(buf[at : at + o[-1]], o, length, q)
-                _, _, (lo, hi, _) = known.settle(x)
+    def settle(self, x: Nodes, is_open: np.ndarray):
+        """(node, first, last, whether all starts repeat, whether they may) of ranges whose core repeats; of open nodes."""
+        node, s, lo, hi = self.narrow(x)
+        again = self.cores.has(x.core_keys(node, s, RANGE))
+        node, lo, hi = node[again], lo[again], hi[again]
+        mine = is_open[node]
+        unsure = np.zeros(len(lo), bool)
+        unsure[mine] = self.parts.has(x.hull_keys(lo[mine], hi[mine], _S))
+        return node, lo, hi, mine & ~unsure, unsure
+
+    def asked(self, batches):
+        """Identifiers that the open nodes ask for at level 2."""
+        for (is_open, *_), x in self.stored(batches):
+            node, s, lo, hi = self.narrow(x)
+            mine = is_open[node]
+            keys = np.concatenate([x.core_keys(node[mine], s[mine], RANGE), x.hull_keys(lo[mine], hi[mine], _S)])
+            yield _table(key=np.unique(keys).view(np.int64))
+
+    def counts(self, asked: Bits):
+        """Counts, over all nodes, of the asked identifiers: cores (kind 1) and hulls (2) of narrow ranges."""
+
+        def run(batches):
+            for _, x in self.stored(batches):
+                node, s, lo, hi = self.narrow(x)
+                cores, hulls = x.core_keys(node, s, RANGE), x.hull_keys(lo, hi, _S)
+                hit = asked.has(hulls)
+                yield _counted((1, cores[asked.has(cores)], None), (2, hulls[hit], x.hull_checks(lo[hit], hi[hit])))
+
+        return run
+
+    def sure_runs(self, batches):
+        """Runs of starts that repeat by level 2."""
+        for (is_open, ids, prints, at), x in self.stored(batches):
+            node, lo, hi, sure, _ = self.settle(x, is_open)
+            node, lo, hi = node[sure], lo[sure], hi[sure]
+            first = at[node] + lo - x.lo[node]
+            yield _table(id=ids[node], print=prints[node], first=first, last=first + hi - lo)
+
+    def open_starts(self, batches):
+        for (is_open, *_), x in self.stored(batches):
+            _, lo, hi, _, unsure = self.settle(x, is_open)
+            p = expand(lo[unsure], (hi - lo + 1)[unsure])
+            yield _table(key=np.unique(x.start_keys(p)).view(np.int64))
+
+    def start_counts(self, wanted: Bits):
+        """Counts, over all ranges with a repeated core, of the wanted starts."""
+
+        def run(batches):
+            for (is_open, *_), x in self.stored(batches):
+                _, lo, hi, _, _ = self.settle(x, is_open)
                 p = expand(lo, hi - lo + 1)
                 keys = x.start_keys(p)
                 hit = wanted.has(keys)
                 keys, checks, n = _distinct(keys[hit], x.start_checks(p[hit]))
                 yield _table(key=keys.view(np.int64), check=checks, n=n.astype(np.int32))
 
-    return run
-
+        return run
 
-def _start_places(length: int, q: int, known: Levels, again: Bits):
-    """Places of the open starts that may repeat."""
+    def start_places(self, again: Bits):
+        """Places of the open starts that may repeat."""
 
-    def run(batches):
-        for batch, buf, off in _texts(batches):
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            prints = text_keys(buf, off).view(np.int64)
-            for doc, at, o in segments(off, length):
-                x = Nodes(buf[at : at + o[-1]], o, length, q)
-                _, _, (lo, hi, unsure) = known.settle(x)
-                p = expand(lo[unsure], (hi - lo + 1)[unsure])
+        def run(batches):
+            for (is_open, ids, prints, at), x in self.stored(batches):
+                node, lo, hi, _, unsure = self.settle(x, is_open)
+                size = (hi - lo + 1)[unsure]
+                p, node = expand(lo[unsure], size), np.repeat(node[unsure], size)
                 keys = x.start_keys(p)
                 hit = again.has(keys)
-                p, keys = p[hit], keys[hit]
-                place = doc + np.searchsorted(o, p, side="right") - 1
-                yield _table(key=keys.view(np.int64), check=x.start_checks(p), id=ids[place], print=prints[place], at=at + p - off[place])
+                p, keys, node = p[hit], keys[hit], node[hit]
+                yield _table(key=keys.view(np.int64), check=x.start_checks(p), id=ids[node], print=prints[node], first=at[node] + p - x.lo[node])
+
+        return run
 
-    return run
+
+RUNS = "id long, print long, first long, last long"
+
+
+def _refined(nodes: DataFrame, length: int, q: int, wide: Bits, width: int) -> DataFrame:
+    """Levels 2 and 3 on a slice: runs of starts of its open nodes that repeat."""
+    key, at = F.col("key"), Slice(length, q, wide)
+    rows = nodes.select("open", "id", "print", "at", "last", "gram", "hull")
+    open_rows = rows.where("open")
+    asked = bits_of(open_rows.mapInArrow(at.asked, "key long"), key, width)
+    found = rows.mapInArrow(at.counts(asked), NARROW_COUNTS).groupBy("kind", "key", "check").agg(F.sum("n").alias("n"))
+    found = saved(found.where("(kind = 1 and n > 1) or (kind = 2 and n = 1)").select("kind", "key"))
+    at = Slice(length, q, wide, *(bits_of(found.where(F.col("kind") == k), key, width) for k in (1, 2)))
+    discard(found)
+    wanted = bits_of(open_rows.mapInArrow(at.open_starts, "key long"), key, width)
+    starts = rows.mapInArrow(at.start_counts(wanted), COUNTS).groupBy("key", "check").agg(F.sum("n").alias("n"))
+    again = saved(starts.where("n > 1").select("key", "check"))
+    places = open_rows.mapInArrow(at.start_places(bits_of(again, key, width)), "key long, check int, id long, print long, first long")
+    hits = places.join(again, ["key", "check"]).select("id", "print", "first", F.col("first").alias("last"))
+    got = saved(hits.unionAll(open_rows.mapInArrow(at.sure_runs, RUNS)))
+    discard(again)
+    return got
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -327,13 +428,15 @@ def cut(text: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> t
 
 
 def _results(batch, more, length, q, known, as_text):
-    """The rows of a batch (.., text) with n_bytes, n_removed, spans, kept for the text; more: further starts of each."""
+    """The rows of a batch (.., text) with n_bytes, n_removed, spans, kept for the text; more: further runs of starts of each."""
     buf, off = text_column(batch.column(batch.num_columns - 1))
     n = len(off) - 1
     found: list[list] = [[] for _ in range(n)]
     for doc, at, o in segments(off, length):
         x = Nodes(buf[at : at + o[-1]], o, length, q)
-        first, last, _ = known.settle(x)
+        known.candidates(x)
+        closed = ~known.hulls.has(x.hull_keys())
+        first, last = x.lo[closed], x.hi[closed]
         place = doc + np.searchsorted(o, first, side="right") - 1
         shift = at - off[place]
         for d, a, b in zip(place.tolist(), (first + shift).tolist(), (last + shift).tolist()):
@@ -342,8 +445,9 @@ def _results(batch, more, length, q, known, as_text):
         removed, all_spans, all_kept = [], [], []
         for i in range(lo, hi):
             runs = np.array(found[i], dtype=np.int64).reshape(-1, 2)
-            extra = np.array((more[i] if more else None) or (), dtype=np.int64)
-            spans, kept = cut(buf[off[i] : off[i + 1]], np.concatenate([runs[:, 0], extra]), np.concatenate([runs[:, 1], extra]), length)
+            if more:
+                runs = np.concatenate([runs, more[i]])
+            spans, kept = cut(buf[off[i] : off[i + 1]], runs[:, 0], runs[:, 1], length)
             removed.append(sum(b - a for a, b in spans))
             all_spans.append([{"start": a, "end": b} for a, b in spans])
             all_kept.append(kept.decode("utf-8", "ignore") if as_text else kept)
@@ -380,7 +484,10 @@ def _finish_touched(length, q, known, as_text):
 
     def run(batches):
         for batch in batches:
-            yield from _results(batch.select([0, 2]), batch.column(1).to_pylist(), length, q, known, as_text)
+            col = batch.column(1)
+            runs = np.stack([col.flatten().field(k).to_numpy(zero_copy_only=False) for k in (0, 1)], axis=1)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False))
+            yield from _results(batch.select([0, 2]), np.split(runs, ends[:-1]), length, q, known, as_text)
 
     return run
 
@@ -392,30 +499,34 @@ def _repeats(docs: DataFrame, length: int, gram: int, id_col: str, text_col: str
     texts = full.select("id", "text")
     only = full.select("text")
     key = F.col("key")
-    grams = only.mapInArrow(_gram_counts(length, gram), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    grams = saved(grams.where("n > 1").select("key"))
-    n = grams.count()
-    width = width_for(4 * n)
-    known = bits_of(grams, key, width_for(n))
-    discard(grams)
-
-    def sums(rows: DataFrame, keep: str) -> list[Bits]:
-        found = saved(rows.groupBy("kind", "key", "check").agg(F.sum("n").alias("n")).where(keep).select("kind", "key"))
-        bits = [bits_of(found.where(F.col("kind") == k), key, width) for k in (1, 2)]
-        discard(found)
-        return bits
-
-    known = Levels(known, *sums(only.mapInArrow(_wide_counts(length, gram, known), COUNTS), "(kind = 1 and n = 1) or (kind = 2 and n > 1)"))
-    asked = bits_of(only.mapInArrow(_asked(length, gram, known), "key long"), key, width)
-    narrow = sums(only.mapInArrow(_narrow_counts(length, gram, known, asked), COUNTS), "(kind = 1 and n > 1) or (kind = 2 and n = 1)")
-    known = Levels(known.grams, known.hulls, known.wide, *narrow)
-
-    wanted = bits_of(only.mapInArrow(_open_starts(length, gram, known), "key long"), key, width)
-    starts = only.mapInArrow(_start_counts(length, gram, known, wanted), "key long, check int, n int").groupBy("key", "check").agg(F.sum("n").alias("n"))
-    again = saved(starts.where("n > 1").select("key", "check"))
-    places = texts.mapInArrow(_start_places(length, gram, known, bits_of(again, key, width)), "key long, check int, id long, print long, at long")
-    hits = saved(places.join(again, ["key", "check"]).groupBy("id", "print").agg(F.collect_set("at").alias("more")))
-    discard(again)
+    counted = lambda rows, keep: saved(rows.groupBy(*[c for c in rows.columns if c != "n"]).agg(F.sum("n").alias("n")).where(keep).select("key"))
+
+    def bits(ids: DataFrame) -> Bits:
+        got = bits_of(ids, key, width_for(ids.count()))
+        discard(ids)
+        return got
+
+    grams = bits(counted(only.mapInArrow(_gram_counts(length, gram), "key long, n long"), "n > 1"))
+    known = Levels(grams, bits(counted(only.mapInArrow(_wide_counts(length, gram, grams), "key long, n long"), "n > 1")))
+    known.hulls = bits(counted(only.mapInArrow(_hull_counts(length, gram, known), COUNTS), "n = 1"))
+
+    nodes = saved(texts.mapInArrow(_nodes(length, gram, known), NODES).sortWithinPartitions("part"))
+    release(docs.sparkSession)
+    ranges = nodes.agg(F.coalesce(F.sum(F.expr(f"if(open, last div {RANGE} + 2, 0)")), F.lit(0)).alias("n")).first()["n"]
+    slices = min(max(1, -(-ranges * SLICE_BITS >> idfilter.MOST)), PARTS)
+    runs = None
+    for k in range(slices):
+        lo, hi = k * PARTS // slices, (k + 1) * PARTS // slices
+        got = _refined(nodes.where(f"part >= {lo} and part < {hi}"), length, gram, known.wide, width_for(ranges // (2 * slices)))
+        if runs is None:
+            runs = got
+        else:
+            got.write.mode("append").parquet(runs._kinfold_path)
+            discard(got)
+            release(docs.sparkSession)
+    discard(nodes)
+    runs = docs.sparkSession.read.schema(RUNS).parquet(runs._kinfold_path) if slices > 1 else runs
+    hits = saved(runs.groupBy("id", "print").agg(F.collect_set(F.struct("first", "last")).alias("more")))
     touched = bits_of(hits, F.col("print"), width_for(hits.count()))
     hits = hits.withColumnRenamed("id", "i")
 

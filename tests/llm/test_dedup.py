@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from kinfold.llm import minhash, suffix, vectors
+from kinfold.llm import idfilter, minhash, suffix, vectors
 from kinfold.llm.minhash import drop_near_duplicates, near_duplicates
 from kinfold.llm.superminhash import signatures
 from kinfold.llm.suffix import remove_repeats, without_repeats
@@ -98,6 +98,25 @@ def test_repeats(docs, no_docs, texts, monkeypatch):
     assert remove_repeats(no_docs).count() == 0
 
 
+def test_repeats_beyond_the_bitmaps(spark, monkeypatch):
+    """With more identifiers than bitmaps hold, as at 6 GB, little is moved and the results are the same."""
+    rnd = np.random.default_rng(9)
+    draw = lambda n: bytes(rnd.integers(97, 123, n, np.uint8)).decode()
+    shared = [draw(1500) for _ in range(60)]
+    texts = [draw(1200) + shared[i % 60][i % 7 * 40 :] + draw(1300) for i in range(180)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4, "doc_id").cache()
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True).apply(0).totalShuffleWrite()
+    df.count()
+    for name, bits in (("LEAST", 13), ("MOST", 13)):
+        monkeypatch.setattr(idfilter, name, bits)
+    before = written()
+    rows = {r.id: r for r in remove_repeats(df).collect()}
+    moved = written() - before
+    for i, (spans, kept) in enumerate(repeated([t.encode() for t in texts], 200)):
+        assert [(s.start, s.end) for s in rows[i].spans] == spans and bytes(rows[i].kept) == kept
+    assert moved < 4 * sum(map(len, texts)), moved / sum(map(len, texts))
+
+
 def test_vectors(spark, monkeypatch):
     rnd = np.random.default_rng(2)
     base = rnd.standard_normal((60, 16))
