@@ -252,3 +252,26 @@ def test_http(tmp_path):
     with pytest.raises(urllib.error.HTTPError):
         get("/x/delta/meta")
     web.shutdown()
+
+
+def test_split_without_union(spark):
+    from kinfold.operators.split import split_components
+
+    rows = [(0, 0, "A", ["1970"], ["a"]), (1, 0, "A", ["1980"], ["a"]), (2, 0, "A", [], ["a"]), (3, 3, "B", ["1970"], ["b"]), (4, 3, "B", ["1970"], ["b"]), (5, 5, "C", [], ["c"])]
+    got = split_components(spark.createDataFrame(rows, "idx long, component long, full_name string, years array<string>, aliases array<string>"))
+    assert {r.idx: (r.component, r.sub_no, r.pos.late) for r in got.collect()} == {0: (0, 0, 0), 1: (0, 1, 0), 2: (0, 0, 1), 3: (3, 0, 0), 4: (3, 0, 0), 5: (5, 0, 1)}
+    assert "Union" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("threshold", ["-1", "2k"])
+def test_refined_keys_joined_without_zip(spark, threshold):
+    n = 6000
+    ids = spark.range(n).withColumnRenamed("id", "idx")
+    keys = ids.select("idx", F.explode(F.array(F.concat(F.lit("fp:"), (F.col("idx") % 50).cast("string")), F.concat(F.lit("ph:"), F.floor(F.col("idx") / 3).cast("string")))).alias("key"))
+    coded = ids.select("idx", F.array(F.floor(F.col("idx") / 100).cast("string")).alias("years"), F.lit("X").alias("code_last"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        # 2,000 blocks of three; each block of 120 by years into 60 of two
+        assert B.candidate_pairs(B.refined_keys(keys, coded, 12)).count() == n + n // 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
