@@ -275,3 +275,33 @@ def test_refined_keys_joined_without_zip(spark, threshold):
         assert B.candidate_pairs(B.refined_keys(keys, coded, 12)).count() == n + n // 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def crowd(spark, seed):
+    """Profiles of few names, so that many are alike, some without a name or only with signs."""
+    rnd = random.Random(seed)
+    names = ["John Thompson", "john  thompson", "Jon Thompson", "Thompson, John", "Anna Petrov", "Ana Petrov", "", "!!", None]
+    rows = [(rnd.choice(names), rnd.choice([["1970-01-01"], ["1971", "1970"], [], None]), rnd.choice([["GB"], [], None]), rnd.choice([["Jon Thompson Jr"], ["Anna Maria Petrov", "x"], [], None])) for _ in range(150)]
+    return B.features(profiles(spark, rows))
+
+
+@pytest.mark.parametrize("cap", [6, 20, 500])
+def test_kinds_have_the_pairs_of_profiles(spark, cap):
+    from itertools import combinations
+
+    from kinfold.operators import kinds as K
+
+    feats = crowd(spark, cap)
+    coded = B.with_codes(feats)
+    keys = B.blocking_keys(coded)
+    blocks = {}
+    for r in B.refined_keys(keys, coded, cap).collect():
+        blocks.setdefault(r.key, []).append(r.idx)
+    want = {p for ids in blocks.values() for p in combinations(sorted(ids), 2)}
+    kinds = K.find(feats, cap)
+    got = [(r.a, r.b) for r in K.expanded(kinds.pairs("list")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+    assert kinds.pairs().count() < len(want)  # alike profiles are compared once
+    assert K.count_pairs(kinds.pairs()).first()["actual"] == len(want)
+    assert B.downblocked(kinds.keys, cap) == B.downblocked(keys, cap)
+    assert "HashAggregate" not in B.paired(kinds.rows)._jdf.queryExecution().executedPlan().toString()  # no pair is moved to be made once
