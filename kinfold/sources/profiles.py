@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,9 +17,14 @@ _EMPTY = ("null", "false", "0", "0.0", '""', "[]", "{}")
 
 @dataclass
 class Loaded:
-    profiles: DataFrame
+    good: DataFrame
     rejected: DataFrame
 
+    @cached_property
+    def profiles(self) -> DataFrame:
+        """Read, parsed and numbered once they are asked for."""
+        return complete(numbered(self.good))
+
 
 def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
@@ -72,19 +78,23 @@ def _aliases(v: Column) -> Column:
 
 
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, block, at, line): all lines of *.jsonl and *.jsonl.gz below ``folder``; corrupt files give what was read."""
+    """(path, block, line): all lines of *.jsonl and *.jsonl.gz below ``folder``; corrupt files give what was read."""
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{jsonl,jsonl.gz}").option("ignoreCorruptFiles", "true").option("lineSep", "\n").text(folder)
-    return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (path, block, ...) as read, with ``idx``: their rank by path parts, block and line.
 
-def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """``rows`` with ``idx``: their rank in ``order``, by a range sort and counts per partition."""
-    placed = saved(rows.orderBy(*order).withColumn("__m", F.monotonically_increasing_id()))
-    pid = F.shiftright("__m", 33)
-    counts = placed.groupBy(pid.alias("__p")).agg(F.count("*").alias("n"))
-    before = counts.select("__p", F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
-    got = placed.withColumn("__p", pid).join(F.broadcast(before), "__p")  # a row per partition
-    return got.withColumn("idx", F.col("__b") + F.col("__m").bitwiseAND((1 << 33) - 1)).drop("__p", "__m", "__b")
+    A block is read by one task, in order, so counts of blocks place its rows; they
+    are read once and neither sorted nor moved.
+    """
+    placed = saved(rows.withColumn("__at", F.monotonically_increasing_id()))
+    blocks = placed.groupBy("path", "block").agg(F.min("__at").alias("__first"), F.count("*").alias("n"))
+    order = Window.orderBy(F.split("path", "/"), "block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select("path", "block", "__first", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__before"))
+    got = placed.join(F.broadcast(before), ["path", "block"])  # a row per block of a file
+    return got.withColumn("idx", F.col("__before") + F.col("__at") - F.col("__first")).drop("path", "block", "__at", "__first", "__before")
 
 
 def profile_columns(v: Column, table: dict[str, list[str]] | None = None) -> list[Column]:
@@ -126,5 +136,5 @@ def load_profiles(spark: SparkSession, folder: str, table: dict[str, list[str]]
     )
     judged = parsed.withColumn("reason", reason)
     rejected = judged.where("reason is not null").select("path", "line", "reason")
-    good = judged.where("reason is null").select(F.split("path", "/").alias("path"), "block", "at", *profile_columns(F.col("v"), table))
-    return Loaded(complete(numbered(good, [F.col("path"), F.col("block"), F.col("at")])), rejected)
+    good = judged.where("reason is null").select("path", "block", *profile_columns(F.col("v"), table))
+    return Loaded(good, rejected)

@@ -305,3 +305,25 @@ def test_kinds_have_the_pairs_of_profiles(spark, cap):
     assert K.count_pairs(kinds.pairs()).first()["actual"] == len(want)
     assert B.downblocked(kinds.keys, cap) == B.downblocked(keys, cap)
     assert "HashAggregate" not in B.paired(kinds.rows)._jdf.queryExecution().executedPlan().toString()  # no pair is moved to be made once
+
+
+def test_load_numbers_blocks_of_files(spark, tmp_path):
+    from kinfold.operators.components import shared_dir
+
+    person = lambda n: json.dumps({"data": {"fullName": n}})
+    lines = {name: [person(f"{name} {i}") if i % 7 else "not json" for i in range(60)] for name in ("a/b.jsonl", "a/c.jsonl.gz", "a-x/d.jsonl")}
+    for name, text in lines.items():
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        (gzip.open(path, "wt") if name.endswith("gz") else path.open("w")).write("\n".join(text))
+    tables = Files(spark, shared_dir(spark))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        before = tables.names()
+        got = load_profiles(spark, tmp_path.as_uri())
+        assert got.rejected.count() == 27 and tables.names() == before  # no profile is made for that
+        rows = got.profiles.select("idx", "full_name").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [f"{name} {i}" for name in lines for i in range(60) if i % 7]
+    assert [r.full_name for r in sorted(rows)] == want and [r.idx for r in sorted(rows)] == list(range(len(want)))
