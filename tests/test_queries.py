@@ -29,3 +29,18 @@ def test_query(spark, name):
 
 def test_every_oracle_has_a_query():
     assert set(Q.oracle_sql()) | set(R.oracle_sql()) == set(Q.QUERIES) | set(R.QUERIES)
+
+
+def test_profiles_are_written_by_all_tasks(spark):
+    from kinfold.sources.files import Files
+    from kinfold.sources.profiles import load_profiles
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = R._written(spark, SF)
+        assert all(len([n for n in Files(spark, out).names(k) if ".jsonl" in n]) > 1 for k in ("a/deep", "a-x", "b"))
+        rows = load_profiles(spark, out).profiles.select("idx", "full_name").orderBy("idx").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    v = sorted((r.idx % 3, r.idx, r.full_name) for r in Q._view(spark, SF).collect())
+    assert [(r.idx, r.full_name) for r in rows] == [(i, name) for i, (_, _, name) in enumerate(v)]
