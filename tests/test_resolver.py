@@ -327,3 +327,26 @@ def test_load_numbers_blocks_of_files(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     want = [f"{name} {i}" for name in lines for i in range(60) if i % 7]
     assert [r.full_name for r in sorted(rows)] == want and [r.idx for r in sorted(rows)] == list(range(len(want)))
+
+
+def test_kind_edges_and_components(spark):
+    from kinfold.functions.similarity import token_sort_ratio
+    from kinfold.operators import kinds as K
+    from kinfold.operators.matching import COMPARED, scored_pairs
+
+    feats = crowd(spark, 7)
+    coded = B.with_codes(feats)
+    rows = B.block_rows(B.refined_keys(B.blocking_keys(coded), coded, 500))
+    want = {(r.a, r.b): r.score for r in match_edges(scored_pairs(B.paired(rows, coded.select("idx", *COMPARED)).where("a < b"))).collect()}
+    norm = {r.idx: r.norm for r in feats.collect()}
+    assert want and all(abs(s - token_sort_ratio(norm[a], norm[b])) < 1e-9 for (a, b), s in want.items())
+    kinds = K.find(feats, 500)
+    few = match_edges(scored_pairs(kinds.pairs("list", *COMPARED)), "list_a", "list_b")
+    assert few.count() < len(want)
+    assert {(r.a, r.b): r.score for r in K.expanded(few, "score").collect()} == want
+    up = list(range(150))
+    for _ in range(150):
+        for a, b in want:
+            up[a] = up[b] = min(up[a], up[b])
+    got = {r.idx: r.component for r in kinds.components(match_edges(scored_pairs(kinds.pairs(*COMPARED)))).collect()}
+    assert got == {i: up[i] for p in want for i in p}
