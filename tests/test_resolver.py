@@ -350,3 +350,19 @@ def test_kind_edges_and_components(spark):
             up[a] = up[b] = min(up[a], up[b])
     got = {r.idx: r.component for r in kinds.components(match_edges(scored_pairs(kinds.pairs(*COMPARED)))).collect()}
     assert got == {i: up[i] for p in want for i in p}
+
+
+@pytest.mark.parametrize("threshold", ["-1", "2k"])
+def test_whole_run_without_zip(spark, threshold):
+    from kinfold.plans.resolve import comparison_stats, resolve
+
+    rows = [(f"{a} {b}", [f"{1970 + i % 3}"] if i % 4 else [], ["GB"], []) for i in range(8) for a in ("John", "Jon", "Anna") for b in ("Thompson", "Petrov")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        run = resolve(profiles(spark, rows), 6)
+        stats = comparison_stats(run, 6)
+        clusters = {r.idx for r in run.clusters.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert clusters == set(range(len(rows))) and stats["naive"] == len(rows) * (len(rows) - 1) // 2
+    assert stats["downblocked"] > 0 and 0 < stats["actual"] < stats["naive"]
